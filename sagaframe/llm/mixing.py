@@ -30,7 +30,7 @@ from sagaframe.session import cut
 WORD = r"[^\x20\x09-\x0D]+"
 #: Newton steps; from l = 0 a target of exp(-k) of its source takes k steps and a few more. The steps end by themselves.
 STEPS = 60
-CELL = 4096
+CELL = 256
 CHUNK = 256
 
 

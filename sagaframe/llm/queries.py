@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sagaframe.llm import bpe, mixing, simhash, token_counts
+from sagaframe.llm import bpe, license_scan, main_text, mixing, neighbours, simhash, token_counts
 from sagaframe.session import read_table
 
 
@@ -18,11 +18,30 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), kind="digests").withColumnRenamed("id", "doc_id")
 
 
+def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    joined = lambda *xs: F.array_join(F.array_sort(F.array_distinct(F.concat(*xs))), ",")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.word").alias("first_word"), F.array_max("places.word").alias("last_word"),
+        joined("places.label").alias("base_labels"), joined("places.label", "blocks.label").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("blocks.containment"), F.lit(0.0))).alias("score"),
+    )
+
+
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.copies(read_table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "rate", "copies")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(read_table(spark, sf_dir, "pages")).select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.histogram(read_table(spark, sf_dir, "documents")))
 
@@ -30,7 +49,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op4_bpe": op4_bpe,
+    "op5_license": op5_license,
+    "op7_neighbours": op7_neighbours,
     "op8_mixing": op8_mixing,
+    "op9_main_text": op9_main_text,
     "op10_token_counts": op10_token_counts,
 }
 

@@ -1,7 +1,7 @@
 """SimHash near-duplicates (operator 2): fingerprints, BK-trees over shards, components.
 
-A fingerprint has 64 bits; a bit is set if it is set in over half the XXH64 hashes (seed 42) of the text's word shingles.
-Two fingerprints link at `radius` or fewer differing bits.
+A fingerprint has 64 bits, or a multiple; a bit is set if it is set in over half the XXH64 hashes (seed 42, 43 for the next 64
+bits) of the text's word shingles. Two fingerprints link at `radius` or fewer differing bits.
 
 Search. The bits are cut into blocks; two linked fingerprints agree on at least blocks - radius of them, so every choice of that
 many blocks is one shard key and each linked pair meets in some shard. Each shard holds one BK-tree, whose children are keyed by
@@ -13,13 +13,19 @@ member, never its pairs.
 
 Defined results: null and empty texts, or texts without words, have fingerprint zero and link like any other; fewer words than a
 shingle give one shingle of all words; repeated rows and ties share a component; an empty table gives no rows; extra columns are
-ignored; null ids form documents like any other and lose to every other id as the smallest.
+ignored; rows with a null id are documents like any other, and null counts as larger than every other id.
+
+Similarity. `similar_documents` asks for a Jaccard similarity of word shingles instead. Its angle gives the share of bits that two
+such texts' fingerprints differ in on average; the radius is that share and two standard deviations. So wide a radius has no
+useful blocks that must agree; the shards are then tables of sampled bits, as many as leave a pair right at the similarity a
+chance of 5 % to be missed (less above it). More bits are sampled as the input grows, so shards keep their size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, repeat
+from math import acos, ceil, log, log2, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +35,12 @@ from pyspark.sql import functions as F
 
 from sagaframe.session import cut, prepare, spread
 
-BITS = 64
 SEED = 42
+#: Stands for a null id; larger than every other.
+NO_ID = (1 << 63) - 1
 #: Largest number of fingerprints in one tree before its shard is cut again.
 MAX_SHARD = 4096
 _LANES = np.uint64(0x0101010101010101)
-_TREE_EDGES = "a long, b long"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -55,14 +61,16 @@ def majority(hashes: np.ndarray) -> int:
     return bits
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
+def fingerprint(text: str | None, shingle: int = 3, bits: int = 64) -> int:
     """The unsigned fingerprint of a whole text."""
     words = words_of(text)
     if not words:
         return 0
-    n = max(1, len(words) - shingle + 1)
-    parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False)) if len(words) >= shingle else [b" ".join(words)]
-    return majority(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64, n))
+    parts = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))) if len(words) >= shingle else [b" ".join(words)]
+    out = 0
+    for k in range(bits // 64):
+        out |= majority(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED + k)), np.uint64, len(parts))) << 64 * k
+    return out
 
 
 class BKTree:
@@ -96,8 +104,10 @@ class BKTree:
         return near
 
 
-def shard_edges(keys: list[int], radius: int) -> list[tuple[int, int]]:
-    """(member, smallest member linked to it within this shard), for members that aren't the smallest."""
+def shard_edges(keys: list[int], ids: list[int], radius: int) -> list[tuple[int, int]]:
+    """(id, smallest id linked to it within this shard), for members that aren't the smallest."""
+    if len(keys) == 2:
+        return [(max(ids), min(ids))] if (keys[0] ^ keys[1]).bit_count() <= radius else []
     parent = list(range(len(keys)))
 
     def root(i: int) -> int:
@@ -113,104 +123,112 @@ def shard_edges(keys: list[int], radius: int) -> list[tuple[int, int]]:
             if a != b:
                 parent[max(a, b)] = min(a, b)
     least: dict[int, int] = {}
-    for i, key in enumerate(keys):
+    for i, x in enumerate(ids):
         r = root(i)
-        least[r] = min(least.get(r, key), key)
-    return [(key, least[root(i)]) for i, key in enumerate(keys) if key != least[root(i)]]
+        least[r] = min(least.get(r, x), x)
+    return [(x, least[root(i)]) for i, x in enumerate(ids) if x != least[root(i)]]
 
 
-def _signed(mask: int) -> int:
-    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+def _longs(mask: int, bits: int) -> list[int]:
+    """The 64-bit parts of a mask as Spark's signed longs, lowest first."""
+    parts = [mask >> 64 * k & (1 << 64) - 1 for k in range(bits // 64)]
+    return [p - (1 << 64) if p >> 63 else p for p in parts]
 
 
-def _parts(bits: list[int], n: int) -> list[int]:
+def _parts(places: list[int], n: int) -> list[int]:
     """n masks that cut the given bit places into runs of about equal length."""
-    return [sum(1 << b for b in part.tolist()) for part in np.array_split(np.array(bits, dtype=object), n) if len(part)]
+    return [sum(1 << b for b in part.tolist()) for part in np.array_split(np.array(places, dtype=object), n) if len(part)]
 
 
-def _masks(radius: int) -> list[int]:
+def exact_masks(radius: int, bits: int) -> list[int]:
     """Masks such that any two fingerprints within the radius agree under at least one."""
-    blocks = _parts(list(range(BITS)), radius + 2)
-    return [sum(c) for c in combinations(blocks, 2)]
+    return [sum(c) for c in combinations(_parts(list(range(bits)), radius + 2), 2)]
+
+
+def finer_masks(mask: int, radius: int, bits: int) -> list[int]:
+    """The same among the bits that a mask leaves."""
+    return [mask | p for p in _parts([b for b in range(bits) if not mask >> b & 1], radius + 1)]
 
 
-def _finer(masks: list[int], radius: int) -> dict[int, list[int]]:
-    return {m: [m | p for p in _parts([b for b in range(BITS) if not m >> b & 1], radius + 1)] for m in masks}
+def sampled_masks(n: int, bits: int, share: float, missed: float = 0.05) -> list[int]:
+    """Masks of sampled bits for n fingerprints: fingerprints that differ in the given share of bits agree under none with the chance `missed`."""
+    width = min(bits // 2, max(12, ceil(log2(max(n, 2))) - 2))
+    tables = ceil(log(missed) / log(1 - (1 - share) ** width))
+    draw = np.random.default_rng(SEED)
+    return [sum(1 << int(b) for b in draw.choice(bits, width, replace=False)) for _ in range(tables)]
 
 
-def _fingerprints(shingle: int):
+def _fingerprints(shingle: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = bits // 64
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            fps = [_longs(fingerprint(t, shingle, bits), bits) for t in batch.column(1).to_pylist()]
+            cols = [pa.array([f[k] for f in fps], pa.int64()) for k in range(n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", *(f"w{k}" for k in range(n))])
 
     return run
 
 
-def _trees(radius: int):
-    """Over rows sorted by (mask, shard): one tree a shard; a shard may go over several batches."""
+def _trees(radius: int, n: int):
+    """Over rows (mask, s..., w..., id) sorted by mask and shard s: one tree a shard; a shard may go over several batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held = None, []
+        held_key, keys, ids = None, [], []
+        out: list[tuple[int, int]] = []
 
-        def emit(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-            a = np.array(rows, dtype=np.int64).reshape(-1, 2)
+        def flush() -> pa.RecordBatch:
+            a = np.array(out, dtype=np.int64).reshape(-1, 2)
+            out.clear()
             return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
 
-        out: list[tuple[int, int]] = []
         for batch in batches:
-            for mask, shard, fp in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if (mask, shard) != held_key:
-                    if len(held) > 1:
-                        out += shard_edges_signed(held, radius)
-                    held_key, held = (mask, shard), []
-                held.append(fp)
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+            full = cols[1 + n].view(np.uint64).tolist()
+            for k in range(1, n):
+                full = [a | b << 64 * k for a, b in zip(full, cols[1 + n + k].view(np.uint64).tolist(), strict=True)]
+            new = np.ones(len(full), dtype=bool)
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols[: 1 + n]])
+            starts = np.flatnonzero(new).tolist()
+            all_ids = cols[-1].tolist()
+            for at, end in zip(starts, [*starts[1:], len(full)], strict=True):
+                key = tuple(int(c[at]) for c in cols[: 1 + n]) if at == 0 or end == len(full) else ()
+                if at or key != held_key:
+                    if len(keys) > 1:
+                        out += shard_edges(keys, ids, radius)
+                    held_key, keys, ids = key, [], []
+                keys += full[at:end]
+                ids += all_ids[at:end]
             if len(out) > 50_000:
-                yield emit(out)
-                out = []
-        if len(held) > 1:
-            out += shard_edges_signed(held, radius)
+                yield flush()
+        if len(keys) > 1:
+            out += shard_edges(keys, ids, radius)
         if out:
-            yield emit(out)
+            yield flush()
 
     return run
 
 
-def shard_edges_signed(keys: list[int], radius: int) -> list[tuple[int, int]]:
-    """shard_edges for Spark's signed longs: the links are the same, the smallest is by sign."""
-    full = (1 << BITS) - 1
-    back = {k & full: k for k in keys}
-    groups: dict[int, list[int]] = {}
-    edges = shard_edges([k & full for k in keys], radius)
-    for member, least in edges:
-        groups.setdefault(least, [least]).append(member)
-    out = []
-    for members in groups.values():
-        signed = [back[m] for m in members]
-        smallest = min(signed)
-        out += [(s, smallest) for s in signed if s != smallest]
-    return out
-
-
-def links(fps: DataFrame, radius: int = 2) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column fp) whose closure is that of all links."""
-    masks = _masks(radius)
-    todo = fps.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask")).withColumn("shard", F.col("fp").bitwiseAND(F.col("mask")))
+def links(nodes: DataFrame, radius: int, bits: int, masks: list[int], exact: bool) -> DataFrame:
+    """Edges (a, b) between node ids whose closure is that of all links; nodes: w0.., id, one row a fingerprint."""
+    n = bits // 64
+    words, shard = [f"w{k}" for k in range(n)], [f"s{k}" for k in range(n)]
+    dealt = lambda df: df.select("mask", *[F.col(w).bitwiseAND(F.col("mask")[k]).alias(s) for k, (w, s) in enumerate(zip(words, shard, strict=True))], *words, "id")
+    literal = lambda ms: F.array(*[F.array(*[F.lit(x) for x in _longs(m, bits)]) for m in ms])
+    todo = dealt(nodes.withColumn("mask", F.explode(literal(masks))))
     ready = None
-    for depth in range(3):
-        sizes = todo.groupBy("mask", "shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sized = todo.join(sizes, ["mask", "shard"])
+    for depth in range(3 if exact else 0):
+        sizes = todo.groupBy("mask", *shard).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        sized = todo.join(sizes, ["mask", *shard])
+        small = sized if depth == 2 else sized.filter(F.col("n") <= MAX_SHARD)
+        ready = small.drop("n") if ready is None else ready.unionByName(small.drop("n"))
         if depth < 2:
-            finer = _finer(masks, radius)
-            small, large = sized.filter(F.col("n") <= MAX_SHARD).drop("n"), sized.filter(F.col("n") > MAX_SHARD)
-            table = F.create_map(*[x for m, subs in finer.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(s)) for s in subs]))])
-            todo = large.select("fp", F.explode(table[F.col("mask")]).alias("mask")).withColumn("shard", F.col("fp").bitwiseAND(F.col("mask")))
+            finer = {m: finer_masks(m, radius, bits) for m in masks}
+            table = F.create_map(*[x for m, subs in finer.items() for x in (F.array(*map(F.lit, _longs(m, bits))), literal(subs))])
+            todo = dealt(sized.filter(F.col("n") > MAX_SHARD).withColumn("mask", F.explode(table[F.col("mask")])))
             masks = sorted({s for subs in finer.values() for s in subs})
-        else:
-            small = sized.drop("n")
-        ready = small if ready is None else ready.unionByName(small)
-    shards = ready.select("mask", "shard", "fp").repartition("mask", "shard").sortWithinPartitions("mask", "shard", "fp")
-    return shards.mapInArrow(_trees(radius), _TREE_EDGES).distinct()
+    rows = (todo if ready is None else ready).select(F.xxhash64("mask").alias("mask"), *shard, *words, "id")
+    sorted_rows = rows.repartition("mask", *shard).sortWithinPartitions("mask", *shard)
+    return sorted_rows.mapInArrow(_trees(radius, n), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -219,29 +237,44 @@ def components(edges: DataFrame) -> DataFrame:
     Each round is a few joins and minima with partial aggregation; a star's hub never gathers its neighbours in one task.
     """
     edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
     while True:
+        # A star forest is the end: every node has one neighbour below it, and no node is both above and below another.
+        stats = edges.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("a").alias("d")).first()
+        if stats.n == stats.d and edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
+            return edges.select("a", F.col("b").alias("root"))
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").filter("a <> b").distinct()
         edges = cut(small)
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if before == tuple(now):
-            return edges.select("a", F.col("b").alias("root"))
-        before = tuple(now)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """id, fp (signed long), component (smallest id reachable over links)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int, radius: int, share: float | None) -> DataFrame:
     prepare(docs.sparkSession)
-    fps = cut(spread(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))).mapInArrow(_fingerprints(shingle), "id long, fp long"))
-    nodes = fps.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(links(nodes.select("fp"), radius))
-    placed = nodes.join(roots.withColumnRenamed("a", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
-    return fps.join(named, "fp").select("id", "fp", "component")
+    words = [f"w{k}" for k in range(bits // 64)]
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    fps = cut(spread(rows).mapInArrow(_fingerprints(shingle, bits), ", ".join(["id long", *(f"{w} long" for w in words)])))
+    nodes = fps.groupBy(*words).agg(F.min("id").alias("id"))
+    masks = exact_masks(radius, bits) if share is None else sampled_masks(nodes.count(), bits, share)
+    roots = components(links(nodes, radius, bits, masks, share is None))
+    named = nodes.join(roots.withColumnRenamed("a", "id"), "id", "left").select(*words, F.coalesce("root", "id").alias("component"))
+    back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
+    return fps.join(named, words).select(back("id"), *words, back("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
+    """id, fp (64 bits as a signed long), component (smallest id reachable over links of at most `radius` bits; no link is missed)."""
+    if not 0 <= radius <= 3:
+        raise ValueError("shards of agreeing blocks are small for a radius of 3 at most; see similar_documents")
+    return _grouped(docs, id_col, text_col, shingle, 64, radius, None).withColumnRenamed("w0", "fp")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, bits: int = 128) -> DataFrame:
+    """id, w0.., component for texts whose shingle sets have at least about the given Jaccard similarity."""
+    share = acos(2 * similarity / (1 + similarity)) / pi
+    radius = round(bits * share + 2 * sqrt(bits * share * (1 - share)) - 4)
+    return _grouped(docs, id_col, text_col, shingle, bits, radius, share)
 
 
 def hex_of(fp):
