@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sagaframe.session import read_table
+from sagaframe.plans import text_queries
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+MODULES = (text_queries,)
+QUERIES: dict = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id")
+    return QUERIES["scene_pack"](spark, sf_dir)
