@@ -89,10 +89,10 @@ def clip_ratio(a: Column, b: Column | float) -> Column:
 
 
 def char_grams(c: Column) -> Column:
-    """Distinct pairs of neighbouring characters; a single character stands for itself."""
-    n = F.char_length(c)
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(c, i, F.lit(2)))
-    return F.when(n == 0, F.array().cast("array<string>")).when(n == 1, F.array(c)).otherwise(F.array_distinct(pairs))
+    """Distinct pairs of neighbouring characters; a single character stands for itself. The text is split once, not searched for each place."""
+    signs = F.filter(F.split(c, ""), lambda x: x != "")
+    pairs = F.zip_with(F.slice(signs, 1, F.greatest(F.size(signs) - 1, F.lit(0))), F.slice(signs, 2, F.greatest(F.size(signs) - 1, F.lit(0))), lambda a, b: F.concat(a, b))
+    return F.when(F.char_length(c) <= 1, signs).otherwise(F.array_distinct(pairs))
 
 
 def natural_key(c: Column) -> list[Column]:
