@@ -88,6 +88,11 @@ def clip_ratio(a: Column, b: Column | float) -> Column:
     return F.when(b <= 0, 0.0).otherwise(F.round(F.greatest(F.lit(0.0), F.least(a / b, F.lit(1.0))), 4))
 
 
+def round4(c: Column) -> Column:
+    """Four places. Weighted sums of such numbers often end in a half; it goes up on whichever side of it floating point lands."""
+    return F.round(c + 1e-9, 4)
+
+
 def char_grams(c: Column) -> Column:
     """Distinct pairs of neighbouring characters; a single character stands for itself. The text is split once, not searched for each place."""
     signs = F.filter(F.split(c, ""), lambda x: x != "")

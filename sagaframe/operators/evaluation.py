@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sagaframe.functions.text import clip_ratio
+from sagaframe.functions.text import clip_ratio, round4
 
 
 def section_completeness(targets: DataFrame, rules: DataFrame, path: str) -> DataFrame:
@@ -25,20 +25,20 @@ def assembly_loss(candidates: DataFrame, final: DataFrame, path: str, rule_id: s
 
 
 def specificity(similarity: Column, anchored: Column, complete: Column) -> Column:
-    return F.round(0.5 * similarity + 0.3 * anchored + 0.2 * complete, 4)
+    return round4(0.5 * similarity + 0.3 * anchored + 0.2 * complete)
 
 
 def actionability(contract: Column, cue: Column) -> Column:
-    return F.round(0.7 * contract + 0.3 * cue, 4)
+    return round4(0.7 * contract + 0.3 * cue)
 
 
 def grounding(refs: Column, context: Column) -> Column:
-    return F.round(0.55 * refs + 0.45 * context, 4)
+    return round4(0.55 * refs + 0.45 * context)
 
 
 def rule_quality(rules: DataFrame, passed: float = 0.72, warned: float = 0.55) -> DataFrame:
     """Adds overall_score and status to rows with specificity, actionability and grounding."""
-    overall = F.round(0.34 * F.col("specificity") + 0.33 * F.col("actionability") + 0.33 * F.col("grounding"), 4)
+    overall = round4(0.34 * F.col("specificity") + 0.33 * F.col("actionability") + 0.33 * F.col("grounding"))
     return rules.withColumn("overall_score", overall).withColumn("status", F.when(F.col("overall_score") >= passed, "pass").when(F.col("overall_score") >= warned, "warn").otherwise("fail"))
 
 

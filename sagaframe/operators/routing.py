@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sagaframe.functions.text import clip_ratio, keyword_hits
+from sagaframe.functions.text import clip_ratio, keyword_hits, round4
 
 ORPHAN = "unassigned"
 
@@ -67,7 +67,7 @@ def axis_scores(items: DataFrame, item: str, text: str, rules: RoutingRules, den
         lexical = clip_ratio(hits, float(max(len(a.words) // 3, 2)))
         w = rules.strict_weights if a.high_precision else rules.weights
         feature = rules.features[a.feature]
-        score = F.round(F.least(F.lit(1.0), lexical * w[0] + feature * w[1] + extra), 4)
+        score = round4(F.least(F.lit(1.0), lexical * w[0] + feature * w[1] + extra))
         gated = F.when((hits >= 2) & (feature > 0), score).otherwise(0.0) if a.high_precision else score
         rows.append(F.struct(F.lit(a.axis_id).alias("axis_id"), lexical.alias("lexical"), gated.alias("score")))
     return items.select(item, F.explode(F.array(*rows)).alias("x")).select(item, "x.*")
@@ -94,7 +94,7 @@ def bucket_memberships(items: DataFrame, scores: DataFrame, item: str, text: str
         own = F.array(*[F.coalesce(F.col("axes")[a], F.lit(0.0)) for a in b.axes])
         align = F.aggregate(own, F.lit(0.0), lambda s, x: s + x) / len(b.axes)
         lexical = clip_ratio(keyword_hits(lower, b.words), float(max(len(b.words) // 3, 2)))
-        score = F.round(F.least(F.lit(1.0), wa * align + wl * lexical + wb * (bonus if bonus is not None else F.lit(0.0))), 4)
+        score = round4(F.least(F.lit(1.0), wa * align + wl * lexical + wb * (bonus if bonus is not None else F.lit(0.0))))
         rows.append(F.struct(F.lit(b.bucket_id).alias("bucket_id"), F.when(align >= b.gate, score).otherwise(0.0).alias("confidence")))
     scored = items.select(item, text).join(axes, item, "left").select(item, F.explode(F.array(*rows)).alias("x")).select(item, "x.*")
     w = Window.partitionBy(item).orderBy(F.col("confidence").desc(), "bucket_id")

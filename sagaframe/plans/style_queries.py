@@ -25,8 +25,8 @@ def query(sql: str | None = None):
     return keep
 
 
-@query("""WITH r AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY doc_id) - 1 AS at, count(*) OVER () AS n FROM documents), p AS (SELECT DISTINCT round_even(i * (n - 1) / 49.0, 0)::BIGINT AS at FROM (SELECT DISTINCT n FROM r), range(50) t(i))
-SELECT doc_id, n_chars FROM r JOIN p USING (at)""")
+@query("""WITH r AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY doc_id) - 1 AS pos, count(*) OVER () AS n FROM documents), p AS (SELECT DISTINCT round_even(i * (n - 1) / 49.0, 0)::BIGINT AS pos FROM (SELECT DISTINCT n FROM r), range(50) t(i))
+SELECT doc_id, n_chars FROM r JOIN p USING (pos)""")
 def even_sample(spark, d):
     return sampling.even_sample(read_table(spark, d, "documents").select("doc_id", "n_chars"), ["doc_id"], 50)
 
@@ -82,7 +82,7 @@ def _hits(words):
 
 
 def _clip(a, b):
-    return f"round(greatest(0, least(({a}) / {float(b)}::DOUBLE, 1)), 4)"
+    return f"round(greatest(0, least(({a}) / {float(b)}::DOUBLE, 1)) + 1e-9, 4)"
 
 
 _FEATURE = {"length": _clip("n_chars", 4000), "lines": _clip("len(string_split(text, chr(10)))", 20)}
@@ -91,7 +91,7 @@ _FEATURE = {"length": _clip("n_chars", 4000), "lines": _clip("len(string_split(t
 def _axis_sql(a):
     w = RULES.strict_weights if a.high_precision else RULES.weights
     lex = _clip(_hits(a.words), max(len(a.words) // 3, 2))
-    score = f"round(least(1, {lex} * {w[0]}::DOUBLE + {_FEATURE[a.feature]} * {w[1]}::DOUBLE), 4)"
+    score = f"round(least(1, {lex} * {w[0]}::DOUBLE + {_FEATURE[a.feature]} * {w[1]}::DOUBLE) + 1e-9, 4)"
     if a.high_precision:
         score = f"CASE WHEN ({_hits(a.words)}) >= 2 AND {_FEATURE[a.feature]} > 0 THEN {score} ELSE 0 END"
     return f"SELECT doc_id, '{a.axis_id}' AS axis_id, {lex}::DOUBLE AS lexical, ({score})::DOUBLE AS score FROM documents"
@@ -115,7 +115,7 @@ def axis_select(spark, d):
 def _bucket_sql(b):
     align = "(" + " + ".join(f"{a}::DOUBLE" for a in b.axes) + f") / {len(b.axes)}"
     lex = _clip(_hits(b.words), max(len(b.words) // 3, 2))
-    return f"SELECT doc_id, '{b.bucket_id}' AS bucket_id, CASE WHEN {align} >= {b.gate} THEN round(least(1, 0.6::DOUBLE * {align} + 0.3::DOUBLE * {lex}), 4) ELSE 0 END::DOUBLE AS confidence FROM w"
+    return f"SELECT doc_id, '{b.bucket_id}' AS bucket_id, CASE WHEN {align} >= {b.gate} THEN round(least(1, 0.6::DOUBLE * {align} + 0.3::DOUBLE * {lex}) + 1e-9, 4) ELSE 0 END::DOUBLE AS confidence FROM w"
 
 
 SQL_BUCKETS = f"""WITH w AS (SELECT d.doc_id, text, n_chars, {', '.join(f"max(score) FILTER (axis_id = '{a.axis_id}') AS {a.axis_id}" for a in AXES)} FROM documents d JOIN ({SQL_AXES}) s ON s.doc_id = d.doc_id GROUP BY d.doc_id, text, n_chars),
@@ -277,9 +277,9 @@ def _c(words):
     return _clip(_hits(words), len(words))
 
 
-SQL_QUALITY = f"""WITH r AS (SELECT doc_id, round(0.5 * {_c(('the ', 'der ', 'que '))} + 0.3 * {_c(('and', 'und'))} + 0.2 * {_clip('n_chars', 2000)}, 4)::DOUBLE AS specificity,
-round(0.7 * {_c(('ing', 'ung', 'tion'))} + 0.3 * {_c(('.',))}, 4)::DOUBLE AS actionability, round(0.55 * {_clip('len(string_split(text, chr(10)))', 10)} + 0.45 * {_c((',', '.'))}, 4)::DOUBLE AS grounding FROM documents),
-o AS (SELECT *, round(0.34 * specificity + 0.33 * actionability + 0.33 * grounding, 4) AS overall_score FROM r)
+SQL_QUALITY = f"""WITH r AS (SELECT doc_id, round(0.5 * {_c(('the ', 'der ', 'que '))} + 0.3 * {_c(('and', 'und'))} + 0.2 * {_clip('n_chars', 2000)} + 1e-9, 4)::DOUBLE AS specificity,
+round(0.7 * {_c(('ing', 'ung', 'tion'))} + 0.3 * {_c(('.',))} + 1e-9, 4)::DOUBLE AS actionability, round(0.55 * {_clip('len(string_split(text, chr(10)))', 10)} + 0.45 * {_c((',', '.'))} + 1e-9, 4)::DOUBLE AS grounding FROM documents),
+o AS (SELECT *, round(0.34 * specificity + 0.33 * actionability + 0.33 * grounding + 1e-9, 4) AS overall_score FROM r)
 SELECT *, CASE WHEN overall_score >= 0.72 THEN 'pass' WHEN overall_score >= 0.55 THEN 'warn' ELSE 'fail' END AS status FROM o"""
 
 
@@ -368,13 +368,13 @@ _SLOTS = "time_bucket(INTERVAL '6 hours', ts)"
 @query(f"""WITH m AS (SELECT max(ts) AS t FROM events) SELECT strftime({_SLOTS}, '%Y-%m-%d %H:%M') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events, m GROUP BY {_SLOTS}, event_type HAVING {_SLOTS} + INTERVAL '6 hours' <= any_value(t) - INTERVAL '1 hour'""")
 def stream_runlog_windows(spark, d):
     out = _drained(spark, runlog.tumbling(_stream(spark, d), "ts", "event_type", "6 hours", "1 hour"))
-    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+    return out.withColumn("window_start", runlog.shown("window_start", "yyyy-MM-dd HH:mm"))
 
 
 @query()
 def stream_runlog_sessions(spark, d):
     out = _drained(spark, runlog.sessions(_stream(spark, d), "ts", "user_id", "2 hours", "1 hour"))
-    return out.select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), F.date_format("session_end", "yyyy-MM-dd HH:mm:ss").alias("session_end"), "n")
+    return out.select("user_id", runlog.shown("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), runlog.shown("session_end", "yyyy-MM-dd HH:mm:ss").alias("session_end"), "n")
 
 
 @query("SELECT DISTINCT event_id, event_type FROM events")
@@ -384,7 +384,7 @@ def stream_runlog_dedupe(spark, d):
 
 def _evidence(spark, d):
     e = read_table(spark, d, "events")
-    return e.select((F.col("user_id") % 10).alias("book"), F.floor((F.unix_timestamp("ts") - 1704067200) / 14400).cast("long").alias("chapter"), F.col("event_type").alias("layer"), F.col("value").alias("weight"))
+    return e.select((F.col("user_id") % 10).alias("book"), F.floor((F.unix_timestamp(runlog.utc(F.col("ts"))) - 1704067200) / 14400).cast("long").alias("chapter"), F.col("event_type").alias("layer"), F.col("value").alias("weight"))
 
 
 SQL_EVIDENCE = "(SELECT user_id % 10 AS book, floor((epoch(date_trunc('second', ts)) - 1704067200) / 14400)::BIGINT AS chapter, event_type AS layer, value AS weight FROM events)"

@@ -24,9 +24,20 @@ def latest(log: DataFrame, run: str, at: str) -> DataFrame:
     return log.withColumn("_r", F.row_number().over(Window.partitionBy(run).orderBy(F.col(at).desc()))).filter("_r = 1").drop("_r")
 
 
+def utc(c: Column) -> Column:
+    """The instant of a time without a zone, read as UTC whatever the session's zone."""
+    return F.to_timestamp(F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+
+
+def shown(c: str, form: str) -> Column:
+    """An instant as text in UTC."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), form)
+
+
 def stream(spark: SparkSession, folder: str, like: DataFrame, name: str = "*", files: int = 8) -> DataFrame:
     """A folder of parquet files as a stream with a known schema."""
-    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", name).parquet(folder)
+    rows = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", name).parquet(folder)
+    return rows.withColumns({c: utc(F.col(c)) for c, kind in like.dtypes if kind == "timestamp_ntz"})  # watermarks need instants
 
 
 def tumbling(events: DataFrame, at: str, kind: str, width: str, late: str) -> DataFrame:
