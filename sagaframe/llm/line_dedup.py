@@ -33,7 +33,7 @@ MIN_LINES = 2
 MAX_LINES = 64
 LONG = 50
 NO_ID = (1 << 63) - 1
-_ID, _PLAN, _GONE = "__chunk_id", "__chunk_plan", "removed"
+_ID, _PLAN = "__chunk_id", "__chunk_plan"
 _PRIME = 0x9E3779B97F4A7C15
 _FULL = (1 << 64) - 1
 
@@ -135,13 +135,13 @@ def _apply(text_at: int, width: int):
                 texts.append(text)
                 spans.append([{"line": a, "lines": b - a} for a, b in gone])
             cols = [pa.array(texts, pa.string()) if k == text_at else batch.column(k) for k in range(width)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, _SPANS)], names=[*batch.schema.names[:width], _GONE])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, _SPANS)], names=[*batch.schema.names[:width], "removed"])
 
     return run
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns with the text rewritten, and last `removed`: array of (line, lines) in the old text."""
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "removed") -> DataFrame:
+    """All columns with the text rewritten, and last `removed_col`: array of (line, lines) in the old text."""
     prepare(docs.sparkSession)
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     rows = spread(docs.select(own.alias("id"), F.col(text_col).alias("text")))
@@ -157,5 +157,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = docs.toDF(*[f"c{k}" for k in range(width)]).withColumn(_ID, F.coalesce(F.col(f"c{docs.columns.index(id_col)}").cast("long"), F.lit(NO_ID)))
     joined = plain.join(plans, _ID, "left").select(*[f"c{k}" for k in range(width)], _ID, _PLAN)
     span = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("lines", T.LongType())]))
-    out = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)] + [T.StructField(_GONE, span)])
-    return joined.mapInArrow(_apply(at, width), out).toDF(*docs.columns, _GONE)
+    out = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)] + [T.StructField("removed", span)])
+    return joined.mapInArrow(_apply(at, width), out).toDF(*docs.columns, removed_col)
