@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -70,11 +71,16 @@ BUCKETS = (
     routing.Bucket("south", ("romance",), ("que ", "les ", "para ")),
     routing.Bucket("legal", ("license",), ("license", "rights"), 0.05),
 )
-RULES = routing.RoutingRules(AXES, BUCKETS, features={"length": X.clip_ratio(F.col("n_chars"), 4000), "lines": X.clip_ratio(F.size(F.split("text", "\n")), 20)})
+RULES = routing.RoutingRules(AXES, BUCKETS)
+
+
+def _rules():
+    """With the features, which are columns and so need a session."""
+    return replace(RULES, features={"length": X.clip_ratio(F.col("n_chars"), 4000), "lines": X.clip_ratio(F.size(F.split("text", "\n")), 20)})
 
 
 def _scores(spark, d):
-    return routing.axis_scores(read_table(spark, d, "documents"), "doc_id", "text", RULES)
+    return routing.axis_scores(read_table(spark, d, "documents"), "doc_id", "text", _rules())
 
 
 def _hits(words):
@@ -124,7 +130,7 @@ SELECT doc_id, CASE WHEN best < 0.18 THEN 'unassigned' ELSE bucket_id END AS buc
 
 
 def _members(spark, d):
-    return routing.bucket_memberships(read_table(spark, d, "documents"), _scores(spark, d), "doc_id", "text", RULES)
+    return routing.bucket_memberships(read_table(spark, d, "documents"), _scores(spark, d), "doc_id", "text", _rules())
 
 
 @query(SQL_BUCKETS)
