@@ -16,9 +16,9 @@ shingle give one shingle of all words; repeated rows and ties share a component;
 ignored; rows with a null id are documents like any other, and null counts as larger than every other id.
 
 Similarity. `similar_documents` asks for a Jaccard similarity of word shingles instead. Its angle gives the share of bits that two
-such texts' fingerprints differ in on average; the radius is that share and two standard deviations. So wide a radius has no
-useful blocks that must agree; the shards are then tables of sampled bits, as many as leave a pair right at the similarity a
-chance of 5 % to be missed (less above it). More bits are sampled as the input grows, so shards keep their size.
+such texts' fingerprints differ in on average; the radius is that share and two standard deviations. So wide a radius has
+no useful blocks that must agree; the shards are then tables of sampled bits, as many as leave a pair right at the similarity a
+chance of 2 % to be missed (less above it). More bits are sampled as the input grows, so shards keep their size.
 """
 
 from __future__ import annotations
@@ -150,7 +150,7 @@ def finer_masks(mask: int, radius: int, bits: int) -> list[int]:
     return [mask | p for p in _parts([b for b in range(bits) if not mask >> b & 1], radius + 1)]
 
 
-def sampled_masks(n: int, bits: int, share: float, missed: float = 0.05) -> list[int]:
+def sampled_masks(n: int, bits: int, share: float, missed: float = 0.02) -> list[int]:
     """Masks of sampled bits for n fingerprints: fingerprints that differ in the given share of bits agree under none with the chance `missed`."""
     width = min(bits // 2, max(12, ceil(log2(max(n, 2))) - 2))
     tables = ceil(log(missed) / log(1 - (1 - share) ** width))
@@ -170,7 +170,7 @@ def _fingerprints(shingle: int, bits: int):
 
 
 def _trees(radius: int, n: int):
-    """Over rows (mask, s..., w..., id) sorted by mask and shard s: one tree a shard; a shard may go over several batches."""
+    """Over rows (key, w..., id) sorted by shard key: one tree a shard; a shard may go over several batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, keys, ids = None, [], []
@@ -183,19 +183,17 @@ def _trees(radius: int, n: int):
 
         for batch in batches:
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-            full = cols[1 + n].view(np.uint64).tolist()
+            full = cols[1].view(np.uint64).tolist()
             for k in range(1, n):
-                full = [a | b << 64 * k for a, b in zip(full, cols[1 + n + k].view(np.uint64).tolist(), strict=True)]
-            new = np.ones(len(full), dtype=bool)
-            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols[: 1 + n]])
-            starts = np.flatnonzero(new).tolist()
+                full = [a | b << 64 * k for a, b in zip(full, cols[1 + k].view(np.uint64).tolist(), strict=True)]
+            shard = cols[0]
+            starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])).tolist() if len(shard) else []
             all_ids = cols[-1].tolist()
             for at, end in zip(starts, [*starts[1:], len(full)], strict=True):
-                key = tuple(int(c[at]) for c in cols[: 1 + n]) if at == 0 or end == len(full) else ()
-                if at or key != held_key:
+                if shard[at] != held_key:
                     if len(keys) > 1:
                         out += shard_edges(keys, ids, radius)
-                    held_key, keys, ids = key, [], []
+                    held_key, keys, ids = shard[at], [], []
                 keys += full[at:end]
                 ids += all_ids[at:end]
             if len(out) > 50_000:
@@ -226,8 +224,9 @@ def links(nodes: DataFrame, radius: int, bits: int, masks: list[int], exact: boo
             table = F.create_map(*[x for m, subs in finer.items() for x in (F.array(*map(F.lit, _longs(m, bits))), literal(subs))])
             todo = dealt(sized.filter(F.col("n") > MAX_SHARD).withColumn("mask", F.explode(table[F.col("mask")])))
             masks = sorted({s for subs in finer.values() for s in subs})
-    rows = (todo if ready is None else ready).select(F.xxhash64("mask").alias("mask"), *shard, *words, "id")
-    sorted_rows = rows.repartition("mask", *shard).sortWithinPartitions("mask", *shard)
+    # One number stands for a shard; should two shards share it, their trees are one, and distances still decide.
+    rows = (todo if ready is None else ready).select(F.xxhash64("mask", *shard).alias("key"), *words, "id")
+    sorted_rows = rows.repartition("key").sortWithinPartitions("key")
     return sorted_rows.mapInArrow(_trees(radius, n), "a long, b long").distinct()
 
 
@@ -270,10 +269,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _grouped(docs, id_col, text_col, shingle, 64, radius, None).withColumnRenamed("w0", "fp")
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, bits: int = 128) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, bits: int = 256) -> DataFrame:
     """id, w0.., component for texts whose shingle sets have at least about the given Jaccard similarity."""
     share = acos(2 * similarity / (1 + similarity)) / pi
-    radius = round(bits * share + 2 * sqrt(bits * share * (1 - share)) - 4)
+    radius = round(bits * share + 2 * sqrt(bits * share * (1 - share)))
     return _grouped(docs, id_col, text_col, shingle, bits, radius, share)
 
 
