@@ -1,6 +1,6 @@
 """Token counts (operator 10): an exact histogram of encoded lengths, and suffix sums over it for every context limit.
 
-One aggregation over the documents; all totals, quantiles and truncated totals are then read off the histogram, which has one row a
+One aggregation over the documents, kept in the shared folder so texts are encoded once; all totals, quantiles and truncated totals are then read off the histogram, which has one row a
 distinct length. The suffix sums run within blocks of lengths and over the blocks' totals, so no task sorts all lengths.
 
 Defined results: null and empty texts have length 0 and count as documents; repeated rows count each time; an empty table gives an
@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sagaframe.llm.bpe import encode
+from sagaframe.session import cut
 
-BLOCK = 4096
+BLOCK = 64
 
 
 def histogram(docs: DataFrame, path: str = "word_bpe_49k.json", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """n_tokens, n_docs."""
-    return encode(docs, path, id_col, text_col, "counts").groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    return cut(encode(docs, path, id_col, text_col, "counts").groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")))
 
 
 def suffix_sums(hist: DataFrame) -> DataFrame:
