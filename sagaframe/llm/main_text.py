@@ -44,6 +44,10 @@ NOISE = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login paywall comment comments commentlist disqus replies reply respond share sharing social "
     "search form complementary contentinfo hidden toolbar pagination pager tags skip".split()
 )
+#: First words of class names that tell how a wrapper is laid out, not what it is.
+LAYOUT = frozenset("has with without no is not layout".split())
+#: An article or main element is left out only for these.
+NOT_ARTICLE = frozenset("ad ads advert advertisement sponsored promo related comment comments reply".split())
 GOOD = frozenset("article content entry story post main text".split())
 
 _TOKEN = re.compile(
@@ -64,8 +68,11 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool]:
             kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if kind == "class":
                 name += "".join("." + _DIGITS.sub("0", c) for c in sorted(set(value.split())))
-            if kind in ("class", "id", "role"):
-                skip |= tag not in ("body", "html", "article", "main") and not NOISE.isdisjoint(w.lower() for w in _NAME.findall(value))
+            if kind in ("class", "id", "role") and tag not in ("body", "html"):
+                bad = NOT_ARTICLE if tag in ("article", "main") else NOISE
+                for part in value.split():
+                    words = [w.lower() for w in _NAME.findall(part)]
+                    skip |= bool(words) and words[0] not in LAYOUT and not bad.isdisjoint(words)
             elif kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and "display:none" in value.replace(" ", "").lower():
                 skip = True
     return name, skip

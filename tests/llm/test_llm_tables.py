@@ -125,6 +125,11 @@ def test_article_without_the_rest():
     assert text_of("<body><div class=content><p>" + "word " * 50000 + "</p></div>") == ("word " * 50000).strip()
 
 
+def test_names_of_wrappers_and_comments():
+    page = '<body class="menu-open"><div class="has-sidebar"><article class="post tag-menu"><p>Story</p></article><article class="comment-body"><p>Me too</p></article></div></body>'
+    assert text_of(page) == "Story"
+
+
 def test_hosts_vote(spark):
     usual = '<body><div class="col-1"><p>{}</p></div><div class="col-2"><p>{}</p></div>'
     html = [usual.replace("col-1", "main-1").format("text " * 30, "note") for _ in range(5)] + ['<body><div class="main-9"><p>short</p></div><div class="col-2"><p>a far longer note beside it</p></div>']
