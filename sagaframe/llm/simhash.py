@@ -15,23 +15,26 @@ Defined results: null and empty texts, or texts without words, have fingerprint
 shingle give one shingle of all words; repeated rows and ties share a component; an empty table gives no rows; extra columns are
 ignored; rows with a null id are documents like any other, and null counts as larger than every other id.
 
-Similarity. `similar_documents` asks for a Jaccard similarity of word shingles instead. Its angle gives the share of bits that two
-such texts' fingerprints differ in on average; the radius is that share and two standard deviations. So wide a radius has
-no useful blocks that must agree; the shards are then tables of sampled bits, as many as leave a pair right at the similarity a
-chance of 2 % to be missed (less above it). More bits are sampled as the input grows, so shards keep their size.
+Similarity. `similar_documents` uses no fingerprints: it links the texts whose sets of word shingles have a Jaccard similarity of
+`similarity` or more, all of them and no others (shingles are told apart by 64-bit hashes). Shingles have one global order, those that
+are frequent in some texts last and the others by hash; any order gives the same links, this one keeps shards small. Two such
+sets share one of their first n - ceil(similarity * n) + 1 shingles, so each of these is a shard key (prefix filter). In each shard the
+members are compared with one of them first; then all pairs are that these links left in different components and whose lengths
+and places in the order still allow the similarity. What the first shingles leave possible is counted on the whole sets before it links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, repeat
-from math import acos, ceil, log, log2, pi, sqrt
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sagaframe.session import cut, prepare, spread
 
@@ -150,14 +153,6 @@ def finer_masks(mask: int, radius: int, bits: int) -> list[int]:
     return [mask | p for p in _parts([b for b in range(bits) if not mask >> b & 1], radius + 1)]
 
 
-def sampled_masks(n: int, bits: int, share: float, missed: float = 0.02) -> list[int]:
-    """Masks of sampled bits for n fingerprints: fingerprints that differ in the given share of bits agree under none with the chance `missed`."""
-    width = min(bits // 2, max(12, ceil(log2(max(n, 2))) - 2))
-    tables = ceil(log(missed) / log(1 - (1 - share) ** width))
-    draw = np.random.default_rng(SEED)
-    return [sum(1 << int(b) for b in draw.choice(bits, width, replace=False)) for _ in range(tables)]
-
-
 def _fingerprints(shingle: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = bits // 64
@@ -249,14 +244,13 @@ def components(edges: DataFrame) -> DataFrame:
         edges = cut(small)
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int, radius: int, share: float | None) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int, radius: int) -> DataFrame:
     prepare(docs.sparkSession)
     words = [f"w{k}" for k in range(bits // 64)]
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
     fps = cut(spread(rows).mapInArrow(_fingerprints(shingle, bits), ", ".join(["id long", *(f"{w} long" for w in words)])))
     nodes = fps.groupBy(*words).agg(F.min("id").alias("id"))
-    masks = exact_masks(radius, bits) if share is None else sampled_masks(nodes.count(), bits, share)
-    roots = components(links(nodes, radius, bits, masks, share is None))
+    roots = components(links(nodes, radius, bits, exact_masks(radius, bits), True))
     named = nodes.join(roots.withColumnRenamed("a", "id"), "id", "left").select(*words, F.coalesce("root", "id").alias("component"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
     return fps.join(named, words).select(back("id"), *words, back("component"))
@@ -266,14 +260,190 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, fp (64 bits as a signed long), component (smallest id reachable over links of at most `radius` bits; no link is missed)."""
     if not 0 <= radius <= 3:
         raise ValueError("shards of agreeing blocks are small for a radius of 3 at most; see similar_documents")
-    return _grouped(docs, id_col, text_col, shingle, 64, radius, None).withColumnRenamed("w0", "fp")
+    return _grouped(docs, id_col, text_col, shingle, 64, radius).withColumnRenamed("w0", "fp")
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, ascending."""
+    words = words_of(text)
+    if not words:
+        return np.zeros(0, np.uint64)
+    parts = set(map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))) if len(words) >= shingle else {b" ".join(words)}
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64, len(parts)))
+
+
+def _digest(hashes: np.ndarray) -> int:
+    """Names a set; a signed long."""
+    h = xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _all_shingles(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, shingle).view(np.int64))], names=["h"])
+
+    return run
+
 
+def _heads(shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarray):
+    """Rows (id, key, text) as (id, key, digest, size, first shingles in the global order)."""
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, bits: int = 256) -> DataFrame:
-    """id, w0.., component for texts whose shingle sets have at least about the given Jaccard similarity."""
-    share = acos(2 * similarity / (1 + similarity)) / pi
-    radius = round(bits * share + 2 * sqrt(bits * share * (1 - share)))
-    return _grouped(docs, id_col, text_col, shingle, bits, radius, share)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ds, ns, heads = [], [], []
+            for text in batch.column(2).to_pylist():
+                s = shingle_set(text, shingle)
+                n = len(s)
+                ds.append(_digest(s))
+                ns.append(n)
+                if n and len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+                    s = s[np.argsort(np.where(frequent[at] == s, rank[at], 0), kind="stable")]
+                heads.append(s[: n - ceil(similarity * n - 1e-9) + 1].view(np.int64))
+            cols = [pa.array(ds, pa.int64()), pa.array(ns, pa.int64()), pa.array(heads, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["id", "key", "d", "n", "heads"])
+
+    return run
+
+
+def _marks(keys: DataFrame) -> np.ndarray:
+    """Bits at the places (modulo MARKS) of the long column `key`: a set of bounded size that holds all keys, and others."""
+    at = F.pmod("key", F.lit(MARKS))
+    found = keys.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    out = np.zeros((MARKS // 32768 + 2, 4096), np.uint8)
+    for r in found:
+        out[r.k] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
+
+
+def _marked(marks: np.ndarray, keys: pa.Array) -> pa.Array:
+    """Which keys may be among those marked."""
+    at = keys.to_numpy(zero_copy_only=False) % MARKS
+    # Spark's bucket 0 holds place 0 alone, bucket 1 the places from 1 on.
+    bucket, bit = np.where(at > 0, 1 + (at - 1) // 32768, 0), np.where(at > 0, (at - 1) % 32768, 0)
+    return pa.array((marks[bucket, bit // 8] >> (bit % 8).astype(np.uint8) & 1).astype(bool))
+
+
+def _marked_rows(marks: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(_marked(marks, batch.column(0)))
+
+    return run
+
+
+def _held_sets(marks: np.ndarray, shingle: int):
+    """Over rows (key, text): the sets of those whose key is marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, shingle) for t in batch.column(1).filter(_marked(marks, batch.column(0))).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["d", "bytes"])
+
+    return run
+
+
+def _alike(similarity: float):
+    """Pairs (a, b, set of a, set of b) that have the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _crossing(similarity: float):
+    """Over rows (h, d, n, p, r) sorted by h: pairs of a shard's members of different components r that may have the similarity."""
+
+    def pairs(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        d, n, p, r = np.concatenate(parts, axis=1)
+        for i in range(len(d) - 1):
+            least = np.ceil(similarity / (1 + similarity) * (n[i] + n[i + 1 :]) - 1e-9)
+            may = (r[i] != r[i + 1 :]) & (np.minimum(n[i] - p[i], n[i + 1 :] - p[i + 1 :]) >= least)
+            may &= np.minimum(n[i], n[i + 1 :]) >= similarity * np.maximum(n[i], n[i + 1 :]) - 1e-9
+            other = d[i + 1 :][may]
+            if len(other):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[i], other)), pa.array(np.maximum(d[i], other))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, parts = None, []
+        for batch in batches:
+            h, *rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])).tolist() if len(h) else []
+            for at, end in zip(starts, [*starts[1:], len(h)], strict=True):
+                if h[at] != held_key:
+                    if parts:
+                        yield from pairs(parts)
+                    held_key, parts = h[at], []
+                parts.append(np.stack([c[at:end] for c in rest]))
+        if parts:
+            yield from pairs(parts)
+
+    return run
+
+
+#: Texts (about) and shingles that the global order of shingles looks at; they set the size of shards, not the links.
+ORDER_TEXTS, ORDER_SHINGLES = 2000, 100_000
+#: Places of a set of keys that is sent to all workers.
+MARKS = 1 << 24
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """id, component (smallest id reachable over pairs of texts whose shingle sets have at least the given Jaccard similarity)."""
+    prepare(docs.sparkSession)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    some = rows.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // ORDER_TEXTS))) == 0)
+    counted = some.mapInArrow(_all_shingles(shingle), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
+    last = [r.h for r in counted.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).collect()][::-1]
+    frequent = np.array(last, np.int64).view(np.uint64)
+    by_hash = np.argsort(frequent)
+    rows = rows.select("id", F.xxhash64("id", "text").alias("key"), "text")
+    found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent[by_hash], by_hash + 1), "id long, key long, d long, n long, heads array<long>"))
+    nodes = found.groupBy("d").agg(F.min(F.struct("id", "key")).alias("row"), F.first("n").alias("n"), F.first("heads").alias("heads"))
+    shard = Window.partitionBy("h")
+    dealt = nodes.select("d", "n", F.posexplode("heads").alias("p", "h"))
+    held = dealt.select("*", F.count(F.lit(1)).over(shard).alias("m"), F.min(F.struct("d", "n", "p")).over(shard).alias("c"))
+    shared = cut(held.filter("m > 1").drop("m"))
+    named = cut(nodes.select("d", "row.*"))
+    # What two sets must have in common, and what they can have: what their first shingles do, and either's rest.
+    least = lambda n, m: F.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
+    either = lambda df: df.select(F.col("a").alias("d")).unionByName(df.select(F.col("b").alias("d"))).distinct()
+
+    def with_both(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        """Pairs with the columns of both members as structs x and y; each member is in `of` once."""
+        side = lambda d, c: of.select(F.col("d").alias(d), F.struct(*[k for k in of.columns if k != "d"]).alias(c))
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs.distinct())
+        marks = _marks(either(pairs).withColumnRenamed("d", "key"))
+        firsts = cut(found.select("d", "n", "heads").mapInArrow(_marked_rows(marks), "d long, n long, heads array<long>").dropDuplicates(["d"]))
+        rest = lambda c: F.col(f"{c}.n") - F.size(f"{c}.heads")
+        can = F.size(F.array_intersect("x.heads", "y.heads")) + F.greatest(rest("x"), rest("y"))
+        pairs = cut(with_both(pairs, firsts).filter(can >= least(F.col("x.n"), F.col("y.n"))).select("a", "b"))
+        marks = _marks(named.join(either(pairs), "d", "left_semi").select("key"))
+        sets = cut(rows.select("key", "text").mapInArrow(_held_sets(marks, shingle), "d long, bytes binary").dropDuplicates(["d"]))
+        both = with_both(pairs, sets).select("a", "b", F.col("x.bytes").alias("x"), F.col("y.bytes").alias("y"))
+        return cut(both.mapInArrow(_alike(similarity), "a long, b long"))
+
+    may = F.least(F.col("n") - F.col("p"), F.col("c.n") - F.col("c.p")) >= least(F.col("n"), F.col("c.n"))
+    stars = verified(shared.filter((F.col("d") != F.col("c.d")) & may).select(F.col("c.d").alias("a"), F.col("d").alias("b")))
+    joined = components(stars).withColumnRenamed("a", "d")
+    placed = shared.join(joined, "d", "left").select("h", "d", "n", F.col("p").cast("long").alias("p"), F.coalesce("root", "d").alias("r"))
+    crossing = placed.repartition("h").sortWithinPartitions("h").mapInArrow(_crossing(similarity), "a long, b long")
+    roots = components(stars.unionByName(verified(crossing))).withColumnRenamed("a", "d")
+    rooted = named.join(roots, "d", "left").select("d", "id", F.coalesce("root", "d").alias("r"))
+    first = rooted.groupBy("r").agg(F.min("id").alias("component"))
+    back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
+    return found.select("id", "d").join(rooted.select("d", "r").join(first, "r"), "d").select(back("id"), back("component"))
 
 
 def hex_of(fp):

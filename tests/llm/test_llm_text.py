@@ -156,6 +156,28 @@ def test_similar_documents_finds_near_copies(spark):
     assert len(set(got.values())) >= 40
 
 
+def test_similar_documents_are_those_of_brute_force(spark):
+    draw = random.Random(5)
+    texts = ["", None, "a b", "A  b"]
+    for _ in range(40):
+        words = [f"w{draw.randrange(5000)}" for _ in range(200)]
+        texts.append(" ".join(words))
+        for changes in (3, 4, 5, 6, 8, 9):  # similarities around 0.8
+            near = list(words)
+            for at in draw.sample(range(200), changes):
+                near[at] = f"changed{draw.randrange(9)}"
+            texts.append(" ".join(near))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in ((t or "").lower().split() for t in texts)]
+    parent = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((parent[a], parent[b]))
+                parent = [low if p == high else p for p in parent]
+    got = {r.id: r.component for r in simhash.similar_documents(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(parent)) and 60 < len(set(parent)) < 280
+
+
 # 3
 
 
