@@ -98,7 +98,7 @@ def line_features(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             min(1.0, line.count(b"!") / n),
             min(1.0, 2 * words.count(b"|") / n),
             1 - len(set(words)) / n,
-            float(n > 3 and any(words[i] == words[i + 1] == words[i + 2] for i in range(0, n - 2, max(1, (n - 2) // 16)))),
+            float(n > 3 and any(a == b == c for a, b, c in zip(words, words[1:], words[2:], strict=False))),
             float(n < 4),
             min(1.0, size / n / 40),
             float(line in seen),

@@ -46,6 +46,15 @@ def test_base_counts_and_repeats():
         assert quality.base_counts(raw, words, raw.split(b"\n"), len(text or "")) == (len(words), chars, symbols, dup, len(covered))
 
 
+def test_a_word_three_times_running_is_seen_anywhere():
+    words = [f"w{i}".encode() for i in range(200)]
+    at = quality.FEATURES.index("same_word")
+    for i in range(198):
+        x, _ = quality.line_features([b" ".join(words[:i] + [words[i]] * 3 + words[i + 3 :])])
+        assert x[0, at] == 1
+    assert quality.line_features([b" ".join(words)])[0][0, at] == 0
+
+
 def test_viterbi_is_the_best_path():
     draw = np.random.default_rng(2)
     field = quality.Field(draw.normal(size=(len(quality.FEATURES), 2)), draw.normal(size=(2, 2)))
