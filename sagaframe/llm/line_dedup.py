@@ -4,9 +4,13 @@ Lines have hashes; a rolling hash over the hashes of the last ROLL lines ends a
 boundaries move along with inserted or removed lines and the same passage is cut alike in every text. A line of LONG words or more
 always is a chunk of its own. A chunk may be removed if it has MIN_LINES lines or LONG words, and any words at all.
 
-Only chunks whose hash occurs twice or more are looked at again. Their bytes are compared: rows are grouped by hash and bytes with
-partial aggregation, so a passage in a third of all texts is one row a task. The first document (smallest id) keeps its first copy of a
-chunk; all other copies go, there and elsewhere.
+Chunks end where the lines around a passage say, so short passages may share none. Windows find these: from every line with words
+on, and up to every such line, the fewest lines that hold LONG words. They depend on no line outside, and a repeated passage of LONG
+words or more is the union of those within it, so all of its lines go.
+
+Only chunks and windows whose hash occurs twice or more are looked at again. The SHA-256 of their bytes is compared: rows are grouped
+by hash and digest with partial aggregation, so a passage in a third of all texts is one row a task. The first document (smallest id)
+keeps its first copy; all other copies go, there and elsewhere. Of a window that overlaps its first copy the lines after that go.
 
 Defined results: null texts stay null and empty ones empty; a text all of whose chunks are copies becomes empty; rows with the same
 id are taken as one document, each row keeping the first copies; null ids are one document that comes last; very long texts are
@@ -74,13 +78,44 @@ def _hash(chunk: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def windows(counts: list[int]) -> list[tuple[int, int]]:
+    """(first line, end line) of the shortest runs of two lines or more that start or end at a line with words and hold LONG words."""
+    at = [i for i, n in enumerate(counts) if n]
+    out, end, words = set(), 0, 0
+    for k, i in enumerate(at):  # the fewest lines from i on
+        while end < len(at) and words < LONG:
+            words += counts[at[end]]
+            end += 1
+        if words < LONG:
+            break
+        if end > k + 1:
+            out.add((i, at[end - 1] + 1))
+        words -= counts[i]
+    start, words = 0, 0
+    for k, j in enumerate(at):  # the fewest lines up to j
+        words += counts[j]
+        while words - counts[at[start]] >= LONG:
+            words -= counts[at[start]]
+            start += 1
+        if words >= LONG and start < k:
+            out.add((at[start], j + 1))
+    return sorted(out)
+
+
+def pieces(text: str | None) -> tuple[list[bytes], list[tuple[int, int, int, bool]]]:
+    """The lines, and (first line, end line, hash, whether a chunk) of chunks and windows."""
+    lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines)).tobytes()
+    found = [(a, b, _hash(c), True) for a, b, c in chunks(text)]
+    return lines, found + [(a, b, _hash(hashes[8 * a : 8 * b]), False) for a, b in windows([len(line.split()) for line in lines])]
+
+
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, hs, ns = [], [], []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found: dict[int, int] = {}
-            for _, _, b in chunks(text):
-                h = _hash(b)
+            for _, _, h, _ in pieces(text)[1]:
                 found[h] = found.get(h, 0) + 1
             ids += [i] * len(found)
             hs += found
@@ -88,34 +123,35 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(ns, pa.int64())], names=["id", "h", "n"])
 
 
-def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the chunks that a row's plan names."""
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digests of the chunks and windows that a row's plan names."""
     for batch in batches:
         rows: list[tuple[int, int, bytes]] = []
-        for i, text, plan in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            wanted = set(plan)
-            rows += [(h, i, b) for _, _, b in chunks(text) if (h := _hash(b)) in wanted]
+        for i, text, plan in zip(*(batch.column(k) for k in range(3)), strict=True):
+            i, wanted = i.as_py(), set(plan.as_py())
+            lines, found = pieces(text.as_py())
+            rows += [(h, i, hashlib.sha256(b"\n".join(lines[a:b])).digest()) for a, b, h, _ in found if h in wanted]
         cols = list(zip(*rows, strict=True)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], names=["h", "id", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], names=["h", "id", "digest"])
 
 
 def without(text: str, own: int, plan: dict[int, list[tuple[bytes, int]]]) -> tuple[str, list[tuple[int, int]]]:
-    """The text without the copies its plan names (hash: digest and keeper), and the spans of lines that went."""
-    gone, seen = [], set()
-    for start, end, b in chunks(text):
-        for digest, keeper in plan.get(_hash(b), ()):
-            if hashlib.sha256(b).digest() == digest:
-                if keeper == own and digest not in seen:
-                    seen.add(digest)
-                else:
-                    gone.append((start, end))
+    """The text without the copies its plan names (hash: digest and keeper), and the spans of lines that went: chunks, then single lines."""
+    spans, gone, first = [], set(), {}
+    raw, found = pieces(text)
+    for start, end, h, chunk in found:
+        for digest, keeper in plan.get(h, ()):
+            if hashlib.sha256(b"\n".join(raw[start:end])).digest() == digest:
+                # The end of the first copy here; copies that stay elsewhere protect no line.
+                kept = first.setdefault((h, digest), end) if keeper == own else 0
+                if chunk and kept != end:
+                    spans.append((start, end))
+                gone.update(range(max(start, kept), end))
     if not gone:
-        return text, gone
-    lines, out, at = text.split("\n"), [], 0
-    for start, end in gone:
-        out += lines[at:start]
-        at = end
-    return "\n".join(out + lines[at:]), gone
+        return text, []
+    whole = {i for start, end in spans for i in range(start, end)}
+    lines = text.split("\n")
+    return "\n".join(line for i, line in enumerate(lines) if i not in gone), sorted(spans + [(i, i + 1) for i in gone - whole])
 
 
 _SPANS = pa.list_(pa.struct([("line", pa.int64()), ("lines", pa.int64())]))
@@ -125,13 +161,14 @@ def _apply(text_at: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = [], []
-            for text, own, plan in zip(batch.column(text_at).to_pylist(), batch.column(width).to_pylist(), batch.column(width + 1).to_pylist(), strict=True):
-                gone = []
-                if text is not None and plan:
+            # Plans become Python's row by row: those of a batch of long texts are large.
+            for text, own, plan in zip(batch.column(text_at), batch.column(width), batch.column(width + 1), strict=True):
+                text, gone = text.as_py(), []
+                if text is not None and plan.is_valid and len(plan):
                     known: dict[int, list[tuple[bytes, int]]] = {}
-                    for p in plan:
-                        known.setdefault(p["h"], []).append((bytes(p["digest"]), p["keeper"]))
-                    text, gone = without(text, own, known)
+                    for h, digest, keeper in zip(*(plan.values.field(k).to_pylist() for k in ("h", "digest", "keeper")), strict=True):
+                        known.setdefault(h, []).append((bytes(digest), keeper))
+                    text, gone = without(text, own.as_py(), known)
                 texts.append(text)
                 spans.append([{"line": a, "lines": b - a} for a, b in gone])
             cols = [pa.array(texts, pa.string()) if k == text_at else batch.column(k) for k in range(width)]
@@ -148,9 +185,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     occurring = cut(rows.mapInArrow(_hashes, "id long, h long, n long"))
     repeated = occurring.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
     wanted = occurring.join(repeated, "h").groupBy("id").agg(F.collect_set("h").alias("plan"))
-    held = rows.join(wanted, "id").mapInArrow(_bytes, "h long, id long, bytes binary")
-    same = held.groupBy("h", "bytes").agg(F.min("id").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    decided = cut(same.select("h", F.unhex(F.sha2("bytes", 256)).alias("digest"), "keeper"))
+    held = rows.join(wanted, "id").mapInArrow(_digests, "h long, id long, digest binary")
+    same = held.groupBy("h", "digest").agg(F.min("id").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    decided = cut(same.select("h", "digest", "keeper"))
     plans = occurring.select("id", "h").join(decided, "h").groupBy("id").agg(F.collect_list(F.struct("h", "digest", "keeper")).alias(_PLAN)).withColumnRenamed("id", _ID)
     width, at = len(docs.columns), docs.columns.index(text_col)
     # Column names may repeat or clash: they are numbered while Python has them.

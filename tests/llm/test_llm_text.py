@@ -348,3 +348,22 @@ def test_repeats_go_and_first_copies_stay(spark):
             assert ((s, e - s) in gone) == (min(owners[c]) != i or c in seen)
             seen.add(c)
     assert line_dedup.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_every_repeated_passage_of_fifty_words_goes(spark):
+    draw = random.Random(8)
+    line = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    texts, passages = [], []
+    for lengths in [(26, 26), (30, 25), (18, 17, 17), (20, 0, 31), (13, 13, 13, 13), (9, 9, 9, 9, 9, 9), (45, 8, 40), (4, 60, 3)] * 5:
+        passage = [line(n) for n in lengths]
+        passages.append(passage)
+        for _ in range(2):
+            texts.append("\n".join([*(line(7) for _ in range(draw.randint(1, 4))), *passage, *(line(7) for _ in range(draw.randint(1, 4)))]))
+    same = line(10)
+    texts += ["\n".join([same] * 40), "\n".join([line(10), *[same] * 9])]
+    got = [r.text for r in line_dedup.without_repeats(frame(spark, texts)).orderBy("doc_id").collect()]
+    for k, passage in enumerate(passages):
+        assert got[2 * k] == texts[2 * k]
+        own = [x for x in texts[2 * k + 1].split("\n") if x not in passage]
+        assert got[2 * k + 1].split("\n") == own
+    assert 1 <= got[-2].split("\n").count(same) <= 5 and got[-1] == texts[-1].split("\n")[0]
