@@ -10,6 +10,10 @@ What passes all three is counted exactly. Words that are in no template cannot o
 templates and the order of their words are bounded by the templates alone, so they are sent to all workers; texts are read twice,
 once for the order, and never shuffled.
 
+Blocks that cross line ends: hard-wrapped notices are met as windows of as many words as the template has, over the whole text. A
+text must have `need` of a template's words at all before its windows are counted. Overlapping windows that meet a template and hold
+words of it on two lines or more are one block, with their best containment and that window's first line.
+
 Phrases: three fixed phrases are found wherever their words stand consecutively, over line ends too.
 
 Defined results: null texts are empty and hold nothing; very long texts and lines are read whole; a template that several blocks
@@ -80,6 +84,7 @@ class Templates:
             for w in words[: len(words) - need + 1]:
                 self.by_prefix.setdefault(w, []).append(t)
         self.rare = frozenset(self.by_prefix)
+        self.lengths = [len(normal(text).split()) for _, text in templates]
 
     def met(self, words: list[bytes]) -> list[tuple[int, float]]:
         """(template, containment) for one block."""
@@ -98,6 +103,41 @@ class Templates:
                     out.append((t, common / len(template)))
         return out
 
+    def wrapped(self, lines: list[list[bytes]]) -> list[tuple[int, int, float]]:
+        """(line, template, containment) of the blocks that cross line ends."""
+        hits = []
+        at = 0
+        for i, words in enumerate(lines):
+            hits += [(at + k, i, w) for k, w in enumerate(words) if w in self.universe]
+            at += len(words)
+        held, out = {w for _, _, w in hits}, []
+        for t, (_, template, need) in enumerate(self.sets):
+            if len(held.intersection(template)) < need:
+                continue
+            inside = frozenset(template)
+            own, words, length = [h for h in hits if h[2] in inside], Counter(), self.lengths[t]
+            left, end, best = 0, -1, None
+            for place, line, w in own:
+                words[w] += 1
+                while own[left][0] <= place - length:
+                    words[own[left][2]] -= 1
+                    if not words[own[left][2]]:
+                        del words[own[left][2]]
+                    left += 1
+                if len(words) < need or own[left][1] == line:
+                    continue
+                found = (len(words) / len(template), own[left][1])
+                if best and own[left][0] <= end:
+                    best = found if found[0] > best[0] else best
+                else:
+                    if best:
+                        out.append((best[1], t, best[0]))
+                    best = found
+                end = place
+            if best:
+                out.append((best[1], t, best[0]))
+        return out
+
 
 def phrase_places(words: list[bytes], phrases=PHRASES) -> list[tuple[str, int]]:
     """(label, first word) of every place."""
@@ -139,8 +179,10 @@ def _scan(templates: Templates):
                 places.append([{"label": a, "word": b} for a, b in phrase_places(words)])
                 found = []
                 if not templates.rare.isdisjoint(words):
-                    for i, line in enumerate(clean.split(b"\n")):
-                        found += [{"line": i, "label": templates.sets[t][0], "containment": c} for t, c in templates.met(line.split())]
+                    lines = [line.split() for line in clean.split(b"\n")]
+                    for i, line in enumerate(lines):
+                        found += [{"line": i, "label": templates.sets[t][0], "containment": c} for t, c in templates.met(line)]
+                    found += [{"line": i, "label": templates.sets[t][0], "containment": c} for i, t, c in templates.wrapped(lines)]
                 blocks.append(found)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(places, _PLACES), pa.array(blocks, _BLOCKS)], names=["id", "n_words", "places", "blocks"])
 
@@ -148,7 +190,7 @@ def _scan(templates: Templates):
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """id, n_words, places (label, word) of phrases, blocks (line, label, containment) that meet a template."""
+    """id, n_words, places (label, word) of phrases, blocks (first line, label, containment) that meet a template."""
     prepare(docs.sparkSession)
     rows = spread(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
     universe = Templates(templates, threshold).universe

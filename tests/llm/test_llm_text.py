@@ -312,6 +312,35 @@ def test_license_scan_over_a_frame(spark):
     assert [got[i].n_words for i in range(9)] == [6, 4, 3, 4, 5, 0, 0, 3, 3]
 
 
+def test_notices_over_line_ends(spark):
+    texts = [
+        "x\n# You may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\ny",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted",
+        "Redistribution and use in source\n" + "far away " * 9 + "\nbinary forms, with or without modification, are permitted",
+    ]
+    got = {r.id: {b.label: (b.line, b.containment) for b in r.blocks} for r in license_scan.scan(frame(spark, texts)).collect()}
+    assert got == {0: {"apache-2.0": (1, 1.0)}, 1: {"mit": (0, 1.0)}, 2: {"bsd": (0, 1.0)}, 3: {}}
+    draw, t = random.Random(6), license_scan.Templates()
+    for _ in range(300):
+        words = [w.encode() for x in draw.choices(license_scan.TEMPLATES, k=3) for w in license_scan.normal(x[1]).decode().split() if draw.random() < 0.9]
+        words = [x for w in words for x in ([w, b"other"] if draw.random() < 0.1 else [w])]
+        cuts = sorted(draw.sample(range(len(words)), min(len(words), 6)))
+        lines = [words[a:b] for a, b in zip([0, *cuts], [*cuts, len(words)], strict=True)]
+        where = [i for i, line in enumerate(lines) for _ in line]
+        best = {}
+        for k, (_, template, need) in enumerate(t.sets):
+            for at in range(len(words)):
+                hits = [j for j in range(at, min(len(words), at + t.lengths[k])) if words[j] in template]
+                n = len({words[j] for j in hits})
+                if n >= need and where[hits[0]] != where[hits[-1]]:
+                    best[k] = max(best.get(k, 0), n / len(template))
+        found = {}
+        for _, k, c in t.wrapped(lines):
+            found[k] = max(found.get(k, 0), c)
+        assert found == best
+
+
 # 6
 
 
