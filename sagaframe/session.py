@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE = os.path.dirname(os.path.abspath(__file__))
 #: Rows of an Arrow batch: a batch of very long texts must still fit a Python worker.
 ARROW_ROWS = 256
+#: Bytes of an Arrow batch, for the same reason.
+ARROW_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +45,7 @@ def prepare(spark: SparkSession) -> None:
     """What an operator with Python code needs: the package on the executors and bounded Arrow batches."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def shared_folder(spark: SparkSession) -> str:
