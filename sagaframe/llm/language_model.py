@@ -1,7 +1,8 @@
 """LM scoring (operator 3): an interpolated modified Kneser-Ney model of word pairs, counted in Spark over the whole training set.
 
 Counting. Workers hash words to 64 bits and count pairs in sorted arrays of up to FLUSH tokens before anything is shuffled; a blob a
-shard goes out. Pairs are sharded by their first word, so the sums of a context meet in one place; contexts so frequent that their
+shard goes out, with each context once and small counts in one byte. The number of shards follows the tokens, PER_SHARD each as a hash
+sample estimates them, so that the merge of a shard takes some tens of MB however large the table is. Pairs are sharded by their first word, so the sums of a context meet in one place; contexts so frequent that their
 pairs would fill a shard are sharded by both words instead, and their sums, few rows each, are added up afterwards. Which contexts
 those are is estimated on a hash sample: it decides where a pair is counted, never what is counted. There are at most 2 S of them.
 
@@ -39,7 +40,11 @@ from pyspark.sql import functions as F
 from sagaframe.session import cut, prepare, shared_folder, spread
 
 #: Tokens that a worker holds at once, when it counts and when it scores.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
+#: Tokens whose pairs a shard holds, about.
+PER_SHARD = 2_000_000
+#: One text of so many, by hash, estimates the number of tokens and the frequent contexts.
+SAMPLED = 97
 BEGIN, END = np.uint64(0xB16B00B5C0FFEE01), np.uint64(0xE0D0F7E87B16C0DE)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 U64 = np.uint64
@@ -108,7 +113,47 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["w", "n"])
 
 
-_BLOB = "shard long, a binary, b binary, n binary"
+def packed(n: np.ndarray) -> list[np.ndarray]:
+    """Counts as one byte each; those of 255 and more stand apart, with their places."""
+    large = np.flatnonzero(n >= 255)
+    return [np.minimum(n, 255).astype(np.uint8), large.astype(np.int64), n[large].astype(np.int64)]
+
+
+def unpacked(small: np.ndarray, large: np.ndarray, values: np.ndarray) -> np.ndarray:
+    n = small.astype(np.int64)
+    n[large] = values
+    return n
+
+
+def to_bytes(*arrays: np.ndarray) -> bytes:
+    """Their lengths, then the arrays, each at a multiple of eight bytes."""
+    head = np.array([len(arrays), *(len(a) for a in arrays)], dtype=np.int64).tobytes()
+    return b"".join([head, *(a.tobytes() + bytes(-a.nbytes % 8) for a in arrays)])
+
+
+def from_bytes(data, *kinds: type) -> list[np.ndarray]:
+    sizes = np.frombuffer(data, np.int64, 1 + len(kinds))[1:]
+    at, out = 8 * (1 + len(kinds)), []
+    for kind, n in zip(kinds, sizes.tolist(), strict=True):
+        out.append(np.frombuffer(data, kind, n, at))
+        at += -(-n * np.dtype(kind).itemsize // 8) * 8
+    return out
+
+
+_PACKED = (np.uint8, np.int64, np.int64)
+_BLOB = "shard long, data binary"
+
+
+def blob(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> bytes:
+    """Pairs sorted by context: contexts and the numbers of their followers, followers, counts."""
+    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+    followers = np.diff(np.concatenate([first, [len(a)]]))
+    return to_bytes(a[first], followers.astype(np.uint32), b, *packed(n))
+
+
+def pairs_of(data) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    a, followers, b, *n = from_bytes(data, U64, np.uint32, U64, *_PACKED)
+    return np.repeat(a, followers), b, unpacked(*n)
 
 
 def _count(hot: np.ndarray, shards: int):
@@ -121,12 +166,12 @@ def _count(hot: np.ndarray, shards: int):
             a, b, _ = joined(parts)
             keys, n, at = summed(pair_key(a, b), np.ones(len(a), dtype=np.int64))
             a, b = a[at], b[at]
-            rows = []
-            for shard, (x, y, m) in _split(shard_of(a, keys, hot, shards), a, b, n.astype(np.uint32)):
+            shards_, blobs = [], []
+            for shard, (x, y, m) in _split(shard_of(a, keys, hot, shards), a, b, n):
                 order = np.argsort(x)
-                rows.append((shard, x[order].tobytes(), y[order].tobytes(), m[order].tobytes()))
-            cols = list(zip(*rows, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["shard", "a", "b", "n"])
+                shards_.append(shard)
+                blobs.append(blob(x[order], y[order], m[order]))
+            return pa.RecordBatch.from_arrays([pa.array(shards_, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "data"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -135,6 +180,7 @@ def _count(hot: np.ndarray, shards: int):
                 if held >= FLUSH:
                     yield flush()
                     parts, held = [], 0
+                    pa.default_memory_pool().release_unused()
         if parts:
             yield flush()
 
@@ -147,8 +193,8 @@ def _local(folder: str) -> str | None:
 
 
 def _store(folder: str, name: str, *arrays: np.ndarray) -> None:
-    """One file: the number of rows, then the arrays; it appears whole, by renaming."""
-    data = b"".join([np.array([len(arrays[0])], dtype=np.int64).tobytes(), *(a.tobytes() for a in arrays)])
+    """One file of arrays; it appears whole, by renaming."""
+    data = to_bytes(*arrays)
     own = f".{name}.{uuid.uuid4().hex}"
     if path := _local(folder):
         os.makedirs(path, exist_ok=True)
@@ -181,89 +227,92 @@ def _mapped(folder: str, name: str, *kinds: type):
         f.flush()
     with f:
         m = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-    n, at, out = int(np.frombuffer(m, np.int64, 1)[0]), 8, []
-    for kind in kinds:
-        out.append(np.frombuffer(m, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    yield out
+    yield from_bytes(m, *kinds)
 
 
-def _found(keys: np.ndarray, sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Values of keys, 0 where they are missing."""
+def _found(keys: np.ndarray, sorted_keys: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """The packed counts (three arrays each) of keys, 0 where they are missing."""
     if not len(sorted_keys):
-        return np.zeros(len(keys), dtype=np.int64)
+        return [np.zeros(len(keys), dtype=np.int64) for _ in counts[::3]]
     at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, values[at].astype(np.int64), 0)
+    known, out = sorted_keys[at] == keys, []
+    for small, large, values in zip(counts[::3], counts[1::3], counts[2::3], strict=True):
+        n = small[at].astype(np.int64)
+        if len(large):
+            big = np.flatnonzero(n == 255)
+            n[big] = values[np.searchsorted(large, at[big])]
+        out.append(np.where(known, n, 0))
+    return out
 
 
-_OUT = "kind string, shard long, a binary, n binary, stats array<long>"
+_OUT = "kind string, shard long, data binary, stats array<long>"
 
 
 def _shards(folder: str, hot: np.ndarray, shards: int):
     """Merges the blobs of each shard, stores its arrays, and sends on what concerns other shards."""
 
-    def finish(shard: int, parts: list[tuple[bytes, bytes, bytes]]) -> list[tuple]:
-        a = np.concatenate([np.frombuffer(p[0], U64) for p in parts])
-        b = np.concatenate([np.frombuffer(p[1], U64) for p in parts])
-        n = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts]).astype(np.int64)
+    def finish(shard: int, parts: list[bytes]) -> list[tuple]:
+        a, b, n = (np.concatenate(x) for x in zip(*map(pairs_of, parts), strict=True))
+        parts.clear()
         keys, n, at = summed(pair_key(a, b), n)
         a, b = a[at], b[at]
-        _store(folder, f"pairs-{shard}", keys, n.astype(np.uint32) if n.max() < 1 << 32 else np.minimum(n, (1 << 32) - 1).astype(np.uint32))
-        rows = [("counts", shard, None, None, [int((n == k).sum()) for k in (1, 2, 3, 4)])]
-        once = lambda k: (n == k).astype(np.int64)
-        contexts, total, _ = summed(a, n)
-        ones, twos, more = (summed(a, x)[1] for x in (once(1), once(2), (n >= 3).astype(np.int64)))
+        _store(folder, f"pairs-{shard}", keys, *packed(n))
+        del keys, at
+        rows = [("counts", shard, None, [int((n == k).sum()) for k in (1, 2, 3, 4)])]
+        order = np.argsort(a, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], a[order][1:] != a[order][:-1]]))
+        contexts = a[order][first]
+        total, ones, twos, more = (np.add.reduceat(x[order], first) for x in (n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n >= 3).astype(np.int64)))
         own = ~np.isin(contexts, hot)
-        _store(folder, f"contexts-{shard}", contexts[own], total[own], ones[own].astype(np.uint32), twos[own].astype(np.uint32), more[own].astype(np.uint32))
+        _store(folder, f"contexts-{shard}", contexts[own], *(x for v in (total, ones, twos, more) for x in packed(v[own])))
         known = own & (contexts != BEGIN)
-        rows.append(("words", shard, None, None, [int(known.sum()), int(total[known].sum())]))
+        rows.append(("words", shard, None, [int(known.sum()), int(total[known].sum())]))
         for i in np.flatnonzero(~own):
-            rows.append(("hot", int(contexts[i].view(np.int64)), None, None, [int(total[i]), int(ones[i]), int(twos[i]), int(more[i])]))
+            rows.append(("hot", int(contexts[i].view(np.int64)), None, [int(total[i]), int(ones[i]), int(twos[i]), int(more[i])]))
         words, before, _ = summed(b, np.ones(len(b), dtype=np.int64))
         for s, (w, m) in _split(word_shard(words, shards), words, before):
-            rows.append(("before", s, w.tobytes(), m.astype(np.uint32).tobytes(), None))
+            rows.append(("before", s, to_bytes(w, *packed(m)), None))
         return rows
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["kind", "shard", "a", "n", "stats"])
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["kind", "shard", "data", "stats"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, parts = None, []
-        for batch in batches:
-            for shard, *part in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if shard != at:
-                    if parts:
-                        yield batch_of(finish(at, parts))
-                    at, parts = shard, []
-                parts.append(tuple(part))
-        if parts:
-            yield batch_of(finish(at, parts))
+        for shard, parts in _by_shard(batches):
+            yield batch_of(finish(shard, parts))
+            pa.default_memory_pool().release_unused()
 
     return run
 
 
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """The blobs of one shard after another, over rows (shard, data) sorted by shard."""
+    at, parts = None, []
+    for batch in batches:
+        for shard, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if shard != at:
+                if parts:
+                    yield at, parts
+                at, parts = shard, []
+            parts.append(data.as_py())
+    if parts:
+        yield at, parts
+
+
 def _words(folder: str):
     """Merges the numbers of predecessors of each word shard and stores them."""
 
-    def finish(shard: int, parts: list[tuple[bytes, bytes]]) -> tuple:
-        words, n, _ = summed(np.concatenate([np.frombuffer(p[0], U64) for p in parts]), np.concatenate([np.frombuffer(p[1], np.uint32) for p in parts]).astype(np.int64))
-        _store(folder, f"words-{shard}", words, n)
+    def finish(shard: int, parts: list[bytes]) -> tuple:
+        found = [from_bytes(p, U64, *_PACKED) for p in parts]
+        words, n, _ = summed(np.concatenate([f[0] for f in found]), np.concatenate([unpacked(*f[1:]) for f in found]))
+        _store(folder, f"words-{shard}", words, *packed(n))
         return shard, [*(int((n == k).sum()) for k in (1, 2, 3, 4)), int((n >= 3).sum()), int(n.sum()), len(n)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, parts, rows = None, [], []
-        for batch in batches:
-            for shard, a, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if shard != at:
-                    if parts:
-                        rows.append(finish(at, parts))
-                    at, parts = shard, []
-                parts.append((a, n))
-        if parts:
-            rows.append(finish(at, parts))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["shard", "stats"])
+        for shard, parts in _by_shard(batches):
+            one, stats = finish(shard, parts)
+            yield pa.RecordBatch.from_arrays([pa.array([one], pa.int64()), pa.array([stats], pa.list_(pa.int64()))], names=["shard", "stats"])
 
     return run
 
@@ -296,9 +345,9 @@ class Model:
         out = np.zeros((len(words), 4), dtype=np.int64)
         for shard, (at,) in _split(word_shard(words, self.shards), np.arange(len(words))):
             if shard in self.pair_stored:
-                with _mapped(self.folder, f"contexts-{shard}", U64, np.int64, np.uint32, np.uint32, np.uint32) as (keys, *values):
-                    for k, v in enumerate(values):
-                        out[at, k] = _found(words[at], keys, v)
+                with _mapped(self.folder, f"contexts-{shard}", U64, *4 * _PACKED) as (keys, *counts):
+                    for k, v in enumerate(_found(words[at], keys, *counts)):
+                        out[at, k] = v
         if len(self.hot):
             at = np.flatnonzero(np.isin(words, self.hot))
             out[at] = self.hot_sums[np.searchsorted(self.hot, words[at])]
@@ -308,16 +357,16 @@ class Model:
         out = np.zeros(len(words), dtype=np.int64)
         for shard, (at,) in _split(word_shard(words, self.shards), np.arange(len(words))):
             if shard in self.word_stored:
-                with _mapped(self.folder, f"words-{shard}", U64, np.int64) as (keys, values):
-                    out[at] = _found(words[at], keys, values)
+                with _mapped(self.folder, f"words-{shard}", U64, *_PACKED) as (keys, *counts):
+                    (out[at],) = _found(words[at], keys, *counts)
         return out
 
     def pairs(self, contexts: np.ndarray, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), dtype=np.int64)
         for shard, (at,) in _split(shard_of(contexts, keys, self.hot, self.shards), np.arange(len(keys))):
             if shard in self.pair_stored:
-                with _mapped(self.folder, f"pairs-{shard}", U64, np.uint32) as (known, values):
-                    out[at] = _found(keys[at], known, values)
+                with _mapped(self.folder, f"pairs-{shard}", U64, *_PACKED) as (known, *counts):
+                    (out[at],) = _found(keys[at], known, *counts)
         return out
 
     def score(self, parts: list[np.ndarray]) -> list[np.ndarray]:
@@ -365,6 +414,7 @@ def _score(model: Model):
                 if size >= FLUSH:
                     yield flush()
                     ids, held, parts, size = [], [], [], 0
+                    pa.default_memory_pool().release_unused()
         if parts:
             yield flush()
 
@@ -376,16 +426,16 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     spark = texts.sparkSession
     prepare(spark)
     rows = spread(texts.select(F.col(text_col).cast("string").alias("text")))
-    shards = max(8, rows.rdd.getNumPartitions())
     folder = f"{shared_folder(spark)}/language-model-{uuid.uuid4().hex}"
-    sampled = rows.filter(F.pmod(F.xxhash64("text"), F.lit(97)) == 0).mapInArrow(_frequent, "w long, n long")
+    sampled = rows.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).mapInArrow(_frequent, "w long, n long")
     counted = cut(sampled.groupBy("w").agg(F.sum("n").alias("n")))
     most = counted.agg(F.sum("n").alias("n")).first().n or 0
+    shards = max(8, -(-most * SAMPLED // PER_SHARD))
     hot = np.array([r.w for r in counted.filter(F.col("n") * 2 * shards > most).select("w").collect()], dtype=np.int64).view(U64)  # 2 * shards at most
     hot = np.union1d(hot[hot != END], np.array([BEGIN], dtype=U64))
     blobs = rows.mapInArrow(_count(hot, shards), _BLOB).repartition(shards, "shard").sortWithinPartitions("shard")
     merged = cut(blobs.mapInArrow(_shards(folder, hot, shards), _OUT))
-    words = merged.filter("kind = 'before'").select("shard", "a", "n").repartition(shards, "shard").sortWithinPartitions("shard")
+    words = merged.filter("kind = 'before'").select("shard", "data").repartition(shards, "shard").sortWithinPartitions("shard")
     word_rows = cut(words.mapInArrow(_words(folder), "shard long, stats array<long>"))
     total = lambda df, k: [int(x or 0) for x in df.agg(*[F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(k)]).first()]
     types, tokens = total(merged.filter("kind = 'words'"), 2)

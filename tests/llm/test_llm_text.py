@@ -190,7 +190,34 @@ def test_similar_documents_are_those_of_brute_force(spark):
 # 3
 
 
-def test_scores_of_the_language_model(spark):
+def test_packed_counts():
+    for n in ([], [1, 254, 255, 256, 1 << 40, 0], [255] * 5):
+        n = np.array(n, dtype=np.int64)
+        keys = np.arange(len(n), dtype=np.uint64) * 3
+        assert language_model.unpacked(*language_model.packed(n)).tolist() == n.tolist()
+        data = language_model.to_bytes(keys, *language_model.packed(n))
+        back = language_model.from_bytes(data, np.uint64, np.uint8, np.int64, np.int64)
+        (got,) = language_model._found(np.concatenate([keys, keys + 1]).astype(np.uint64), *back)
+        assert got.tolist() == n.tolist() + [0] * len(n)
+
+
+def test_arrays_in_a_store_that_is_not_mounted(monkeypatch, tmp_path):
+    monkeypatch.setattr(language_model, "_local", lambda folder: None)
+    keys, n = np.arange(9, dtype=np.uint64), np.array([3] * 8 + [999])
+    for _ in range(2):  # a second attempt replaces the file
+        language_model._store(f"file://{tmp_path}/store", "pairs-1", keys, *language_model.packed(n))
+    with language_model._mapped(f"file://{tmp_path}/store", "pairs-1", np.uint64, np.uint8, np.int64, np.int64) as (a, *counts):
+        assert a.tolist() == list(range(9)) and language_model.unpacked(*counts).tolist() == n.tolist()
+    assert [p.name for p in (tmp_path / "store").iterdir()] == ["pairs-1"]
+
+
+@pytest.mark.parametrize("kind", ["plain", "small"])
+def test_scores_of_the_language_model(spark, monkeypatch, kind):
+    """Also with many shards, frequent contexts, and counts above one byte."""
+    if kind == "small":
+        monkeypatch.setattr(language_model, "PER_SHARD", 300)
+        monkeypatch.setattr(language_model, "SAMPLED", 1)
+        monkeypatch.setattr(language_model, "FLUSH", 500)
     texts = some_texts(80)
     docs = frame(spark, texts)
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
@@ -221,7 +248,7 @@ def test_scores_of_the_language_model(spark):
         s, c = sums[a], pairs[a, w]
         return (c - d[min(c, 3)]) / s[0] + sum(d[k] * s[k] for k in (1, 2, 3)) / s[0] * low(w)
 
-    assert model.tokens == n and model.types == v
+    assert model.tokens == n and model.types == v and (kind != "small" or len(model.hot) > 3 and model.shards > 8)
     assert sum(p("the", w) for w in single) + p("the", "never") == pytest.approx(1)
     for i, w in tokens.items():
         r = got[i]
