@@ -2,12 +2,18 @@
 
 The base counts come first: a text of under MIN_WORDS words, or one in which over MAX_REPEAT % of the words stand in repeated
 8-word windows, has failed. For the others the best label sequence (Viterbi) over the lines decides: a document is kept if lines
-labelled content hold at least MIN_SHARE of its words.
+labelled content hold at least the field's share of its words.
 
-Training. There are no line labels, so lines take the label of their document: those of labelled good documents are content, those of
-bad ones boilerplate. The field is fitted on the driver by gradient ascent on the exact likelihood (forward-backward), over the
-TRAIN_DOCS labelled documents that come first by a hash of their id and at most TRAIN_LINES lines of each; nothing else is sampled
-or cut. Without labels of both kinds a fixed prior that distrusts marks, capitals, repeats and columns stands in.
+Training. Labels name documents, not lines, so the labels of lines are found by hard EM: lines start with the label of their document
+and a field without moves is fitted; then every line gets its best label under the field, corrected where a document would contradict its
+own label (a bad one keeps its least likely lines as boilerplate until content holds less than MIN_SHARE of its words, a good one the
+reverse), and the field is fitted again, with moves, ROUNDS times. Bad documents thus hold lines of both kinds, and moves between kinds
+are learnt. The share that decides is the one which parts the labelled documents best (balanced; MIN_SHARE where all do alike).
+
+The field is fitted on the driver by gradient ascent on the exact likelihood (forward-backward), over the TRAIN_DOCS labelled documents
+that come first by a hash of their id, half of each label, with all their lines (long texts as runs of SEGMENT lines); nothing else is
+sampled. Of rows with one id the first by a hash of the text is taken. Without labels of both kinds a fixed prior that distrusts marks,
+capitals, repeats and columns stands in.
 
 Defined results: null and empty texts have no words and fail the base rules; lines without words have no label and no weight; very
 long texts and lines are read whole; repeated rows give equal rows; an empty table gives no rows; extra columns are not read.
@@ -31,7 +37,9 @@ MAX_REPEAT = 30
 WINDOW = 8
 MIN_SHARE = 0.5
 TRAIN_DOCS = 1200
-TRAIN_LINES = 100
+#: Lines of a training sequence; a longer text is several.
+SEGMENT = 100
+ROUNDS = 3
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 _UPPER = bytes(range(0x41, 0x5B))
@@ -112,8 +120,8 @@ def line_features(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Field:
     """Two labels, 0 boilerplate and 1 content: weights by feature and label, and by pair of neighbouring labels."""
 
-    def __init__(self, weights: np.ndarray, moves: np.ndarray) -> None:
-        self.weights, self.moves = weights, moves
+    def __init__(self, weights: np.ndarray, moves: np.ndarray, share: float = MIN_SHARE) -> None:
+        self.weights, self.moves, self.share = weights, moves, share
 
     @classmethod
     def prior(cls) -> Field:
@@ -140,20 +148,53 @@ class Field:
             out.append(label)
         return np.array(out[::-1], dtype=np.int64)
 
+    def content_share(self, x: np.ndarray, words: np.ndarray) -> float:
+        """Share of the words that stand on content lines; 0 without words."""
+        return float(words[self.viterbi(x) == 1].sum() / words.sum()) if len(x) else 0.0
+
+    def consistent(self, x: np.ndarray, words: np.ndarray, good: int) -> np.ndarray:
+        """Best labels of a document's lines that do not contradict its own label."""
+        y = self.viterbi(x)
+        gain = (x @ (self.weights[:, 1] - self.weights[:, 0])) * (1 if good else -1)
+        right, need = int(words[y == good].sum()), MIN_SHARE * words.sum()
+        for i in np.argsort(-gain, kind="stable"):
+            if right > need:
+                break
+            if y[i] != good:
+                y[i], right = good, right + int(words[i])
+        return y
+
     @classmethod
-    def fit(cls, sequences: list[tuple[np.ndarray, int]], rounds: int = 80, decay: float = 1e-3) -> Field:
-        """Gradient ascent (Adam) on the mean log likelihood of sequences whose lines all have one label; the same for the same rows."""
-        sequences = [s for s in sequences if len(s[0])]
-        if len({y for _, y in sequences}) < 2:
+    def from_documents(cls, docs: list[tuple[np.ndarray, np.ndarray, int]]) -> Field:
+        """A field from (features, words, label) of documents; see Training."""
+        docs = [d for d in docs if len(d[0])]
+        if len({y for *_, y in docs}) < 2:
             return cls.prior()
+        cuts = lambda x: [x[i : i + SEGMENT] for i in range(0, len(x), SEGMENT)]
+        size = [max(1, sum(y == k for *_, y in docs)) for k in (0, 1)]
+        share = [1 / size[y] / len(x) for x, _, y in docs for _ in cuts(x)]
+        segments = [part for x, _, _ in docs for part in cuts(x)]
+        fit = lambda labels, **how: cls.fit(list(zip(segments, [part for y in labels for part in cuts(y)], strict=True)), share, **how)
+        field = fit([np.full(len(x), y) for x, _, y in docs], chained=False)
+        for _ in range(ROUNDS):
+            field = fit([field.consistent(x, words, y) for x, words, y in docs], start=field, rounds=40)
+        shares, y = np.array([field.content_share(x, words) for x, words, _ in docs]), np.array([y for *_, y in docs])
+        at = np.arange(1, 20) / 20
+        right = np.array([(shares[y == 1] >= t).mean() + (shares[y == 0] < t).mean() for t in at])
+        best = at[right >= right.max() - 1e-12]
+        return cls(field.weights, field.moves, float(best[np.abs(best - MIN_SHARE).argmin()]))
+
+    @classmethod
+    def fit(cls, sequences: list[tuple[np.ndarray, np.ndarray]], share: list[float] | None = None, start: Field | None = None, chained: bool = True, rounds: int = 80, decay: float = 1e-3) -> Field:
+        """Gradient ascent (Adam) on the mean log likelihood of labelled sequences; `share`: weight of a line of each. The same for the same rows."""
         n, t, d = len(sequences), max(len(x) for x, _ in sequences), len(FEATURES)
-        x, mask, y = np.zeros((n, t, d)), np.zeros((n, t)), np.array([y for _, y in sequences])
-        for i, (rows, _) in enumerate(sequences):
-            x[i, : len(rows)], mask[i, : len(rows)] = rows, 1
-        balance = np.where(y == 1, 1 / max(1, (y == 1).sum()), 1 / max(1, (y == 0).sum()))
-        weight = balance / mask.sum(axis=1) / 2
+        x, mask, gold = np.zeros((n, t, d)), np.zeros((n, t)), np.zeros((n, t, 2))
+        for i, (rows, y) in enumerate(sequences):
+            x[i, : len(rows)], mask[i, : len(rows)], gold[i, : len(rows)] = rows, 1, np.eye(2)[y]
+        weight = np.full(n, 1 / mask.sum()) if share is None else np.array(share) / 2
         theta, m, v = np.zeros(2 * d + 4), np.zeros(2 * d + 4), np.zeros(2 * d + 4)
-        gold = np.eye(2)[y][:, None, :] * mask[:, :, None]
+        if start is not None:
+            theta = np.concatenate([start.weights.ravel(), start.moves.ravel()])
         for step in range(1, rounds + 1):
             w, moves = theta[: 2 * d].reshape(d, 2), theta[2 * d :].reshape(2, 2)
             s = x @ w
@@ -172,7 +213,7 @@ class Field:
             grad_w = np.einsum("ntd,ntl->dl", x, push)
             pair = np.exp(forward[:, :-1, :, None] + moves + (backward + s)[:, 1:, None, :] - z[:, None, None, None])
             here = mask[:, 1:, None, None] * weight[:, None, None, None]
-            grad_m = (gold[:, :-1, :, None] * gold[:, 1:, None, :] * here - pair * here).sum(axis=(0, 1))
+            grad_m = chained * (gold[:, :-1, :, None] * gold[:, 1:, None, :] * here - pair * here).sum(axis=(0, 1))
             grad = np.concatenate([grad_w.ravel(), grad_m.ravel()]) - decay * theta
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             theta = theta + 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -181,8 +222,10 @@ class Field:
 
 def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [line_features((t or "").encode("utf-8", "surrogatepass").split(b"\n", TRAIN_LINES)[:TRAIN_LINES])[0] for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.ravel().tolist() for r in rows], pa.list_(pa.float64()))], names=["id", "x"])
+        texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
+        rows = [line_features(t.split(b"\n")) for t in texts]
+        cols = [pa.array([x.tobytes() for x, _ in rows], pa.binary()), pa.array([w.tobytes() for _, w in rows], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *cols], names=["id", "h", "x", "words"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", good: str = "quality") -> Field:
@@ -190,14 +233,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     prepare(docs.sparkSession)
     known = labels.filter(F.col(label_id).isNotNull() & F.col(good).isNotNull()).select(F.col(label_id).cast("long").alias("id"), (F.col(good) > 0).cast("int").alias("y"))
     # As many bad documents as there are, up to half of the sample.
-    half = lambda y: [r.id for r in known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(TRAIN_DOCS // 2).collect()]
+    half = lambda y: [r.id for r in known.filter(F.col("y") == y).distinct().orderBy(F.xxhash64("id"), "id").limit(TRAIN_DOCS // 2).collect()]
     chosen = {i: y for y in (1, 0) for i in half(y)}
     if len(set(chosen.values())) < 2:
         return Field.prior()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.col("id").isin(list(chosen)))
-    found = rows.mapInArrow(_training, "id long, x array<double>").limit(2 * TRAIN_DOCS).collect()
-    sequences = sorted(((r.id, r.x) for r in found), key=lambda r: (r[0], len(r[1])))
-    return Field.fit([(np.array(x, dtype=np.float64).reshape(-1, len(FEATURES)), chosen[i]) for i, x in sequences])
+    found = rows.withColumn("h", F.xxhash64("text")).mapInArrow(_training, "id long, h long, x binary, words binary")
+    one = found.groupBy("id").agg(F.min_by(F.struct("x", "words"), F.struct("h")).alias("row")).select("id", "row.*").collect()  # one row a chosen document
+    array = lambda r: (np.frombuffer(r.x, np.float64).reshape(-1, len(FEATURES)), np.frombuffer(r.words, np.int64))
+    return Field.from_documents([(*array(r), chosen[r.id]) for r in sorted(one, key=lambda r: r.id)])
 
 
 _SCHEMA = "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
@@ -213,8 +257,8 @@ def _judge(field: Field):
                 base = base_counts(raw, words, lines, len(text or ""))
                 failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT * base[0]
                 x, weight = line_features(lines)
-                share = float(weight[field.viterbi(x) == 1].sum() / weight.sum()) if len(x) else 0.0
-                rows.append((*base, failed, not failed and share >= MIN_SHARE, share))
+                share = field.content_share(x, weight)
+                rows.append((*base, failed, not failed and share >= field.share, share))
             cols = list(zip(*rows, strict=True)) or [[]] * 8
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=[f.split()[0] for f in _SCHEMA.split(", ")])
@@ -241,10 +285,7 @@ def keep(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 words, lines = raw.split(), raw.split(b"\n")
                 ok = len(words) >= MIN_WORDS and 100 * repeated_words(words) <= MAX_REPEAT * len(words)
-                if ok:
-                    x, weight = line_features(lines)
-                    ok = bool(len(x)) and weight[field.viterbi(x) == 1].sum() >= MIN_SHARE * weight.sum()
-                good.append(bool(ok))
+                good.append(ok and field.content_share(*line_features(lines)) >= field.share)
             yield batch.filter(pa.array(good, pa.bool_()))
 
     docs_columns = docs.columns

@@ -71,12 +71,38 @@ def test_viterbi_is_the_best_path():
 def test_field_learns_held_out_lines():
     good = [[b"He walked along the old river and thought of home.", b"It was late, and nobody spoke for a while."] for _ in range(40)]
     bad = [[b"BUY!! NOW!! CHEAP!! PRICES!! HERE!!", b"a | b | c | d | e | f"] for _ in range(40)]
-    rows = [(quality.line_features(x)[0], 1) for x in good] + [(quality.line_features(x)[0], 0) for x in bad]
-    field = quality.Field.fit(rows)
+    field = quality.Field.from_documents([(*quality.line_features(x), 1) for x in good] + [(*quality.line_features(x), 0) for x in bad])
     assert field.viterbi(quality.line_features([b"She opened the door and saw the garden."])[0]).tolist() == [1]
     assert field.viterbi(quality.line_features([b"WIN!! BIG!! TODAY!! ONLY!!", b"x | y | z | w | v"])[0]).tolist() == [0, 0]
 
 
+def test_lines_get_labels_of_their_own():
+    """Labels are those of documents, but bad documents hold good lines, too: the field must tell the lines apart."""
+    draw = random.Random(9)
+    content = lambda: (" ".join(draw.choices("he walked along an old river and thought of home late at night".split(), k=12)) + ".").encode()
+    junk = lambda: draw.choice([" ".join(f"w{draw.randrange(99)}{draw.choice(['***', '$$$', '&&&'])}" for _ in range(9)), " | ".join(f"w{draw.randrange(99)}" for _ in range(9))]).encode()
+    docs = [([content() for _ in range(draw.randint(2, 300 if k == 0 else 9))], 1) for k in range(60)]
+    docs += [([content() for _ in range(draw.randint(0, 2))] + [junk() for _ in range(draw.randint(3, 7))] + [content() for _ in range(draw.randint(0, 1))], 0) for _ in range(60)]
+    field = quality.Field.from_documents([(*quality.line_features(lines), y) for lines, y in docs])
+    right, shares = [], set()
+    for _ in range(50):
+        kinds = [1] * draw.randint(1, 4) + [0] * draw.randint(1, 4) + [1] * draw.randint(1, 4)
+        x, words = quality.line_features([content() if k else junk() for k in kinds])
+        right += (field.viterbi(x) == np.array(kinds)).tolist()
+        shares.add(round(field.content_share(x, words), 3))
+    assert np.mean(right) > 0.95 and len([s for s in shares if 0 < s < 1]) > 10
+    assert all((field.content_share(*quality.line_features(lines)) >= field.share) == y for lines, y in docs)
+
+
+def test_training_reads_whole_texts(spark):
+    good = "\n".join(f"He walked along the old river number {i}, and thought." for i in range(150))
+    late = "\n".join(["He walked along the old river, and thought."] * 120 + ["a*** b$$$ c&&& d%%%"] * 400)
+    docs = spark.createDataFrame([(i, good, "x") for i in range(5)] + [(i, late, "x") for i in range(5, 10)] + [(9, "other", "x"), (None, late, "x")], "doc_id long, text string, y string")
+    field = quality.train(docs, spark.createDataFrame([(i, int(i < 5)) for i in range(10)] + [(3, 1), (None, 1)], "doc_id long, quality int"))
+    rows = {(r.id, r.n_words > 1): r for r in quality.judge(docs, field).collect()}
+    assert 0 < rows[6, True].content_share < field.share <= rows[1, True].content_share
+
+
 def test_quality_over_a_frame(spark):
     docs = frame(spark, some_texts())
     field = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int"))
