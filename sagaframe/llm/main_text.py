@@ -2,11 +2,16 @@
 
 Each page is read into blocks with the path of the container they stand in; a path is made of tags and their classes, digits
 generalised. A page scores its containers: a block gives its text, less its link text, to its own container and half of that to
-the next one. The scores are summed over a host's pages in Spark, and every page is extracted again with the host's best path that
-it has. A page none of whose containers is among its host's winners keeps its own best one.
+the next one. The page votes for its best container, or for one around it whose further text is no small part of the whole (an article
+cut into several containers). Votes are summed over a host's pages in Spark, and every page is extracted again with the best path of
+all its host's paths that it has, however many there are, with the headings that stand before it in the containers around it.
 
 What is never text: scripts, styles, forms, menus, headers, footers, sidebars, notices, adverts, reader comments (by tag, or by
-the words of class, id and role), comments and other markup.
+the words of class, id and role), comments and other markup. Names of paragraphs and inline elements count only where they name adverts,
+notices or comments: a paragraph of tags or a highlighted search word is text.
+
+The table of paths goes to all workers if it has MOST_BYTES at most; beyond that the pages' own short lists of paths are joined with it,
+by host and path, and each page with its choice, by a hash of the whole row, so that no host is one task's.
 
 Defined results: null and empty html give an empty text, as do pages without text; unclosed or truncated tags end where HTML ends
 them or at the end; very long pages are read whole; null and odd urls share the empty host; repeated rows give equal rows; an
@@ -26,24 +31,29 @@ from pyspark.sql.window import Window
 
 from sagaframe.session import cut, prepare, spread
 
-#: Paths kept for a host, best first; a page that has none of them uses its own best container.
-PATHS = 16
-#: Hosts up to which the table of winners is sent to all workers.
-MOST_HOSTS = 20_000
+#: Bytes up to which the table of the hosts' paths is sent to all workers.
+MOST_BYTES = 16 << 20
+#: Share of a container's text that its neighbours must add for the vote to go to the container around them.
+WIDER = 0.5
 
 # Element names of HTML by what they are for.
-RAW = "script style noscript template iframe textarea title svg math select xmp noembed noframes object".split()
-SKIPPED = frozenset("nav header footer aside form dialog menu button head audio video canvas fieldset label".split())
+RAW = "script style noscript template iframe textarea title select xmp noembed noframes object".split()
+SKIPPED = frozenset("nav header footer aside form dialog menu button head audio video canvas fieldset".split())
 CONTAINERS = frozenset("body main article section div td center blockquote".split())
 BLOCKS = CONTAINERS | SKIPPED | frozenset("html p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr th caption pre hr figure figcaption address details summary".split())
+#: Elements whose names tell what they are for; others hold text.
+STRUCTURE = CONTAINERS | SKIPPED | frozenset("ul ol dl table tr li figure details".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of class, id and role names that mark what is not the article.
 NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs "
     "header masthead topbar footer bottombar sidebar aside side rail widget widgets related recommended recommendations cookie cookies consent gdpr notice notices alert "
     "popup modal overlay newsletter subscribe subscription signup login paywall comment comments commentlist disqus replies reply respond share sharing social "
-    "search form complementary contentinfo hidden toolbar pagination pager tags skip".split()
+    "search form complementary contentinfo toolbar pagination pager tags skip".split()
 )
+#: Those that count for paragraphs and inline elements, too.
+NOISE_ANYWHERE = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo cookie cookies consent gdpr notice notices newsletter comment comments".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: First words of class names that tell how a wrapper is laid out, not what it is.
 LAYOUT = frozenset("has with without no is not layout".split())
 #: An article or main element is left out only for these.
@@ -55,7 +65,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"(?<![-\w])(class|id|role)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -69,19 +79,17 @@ def _attributes(tag: str, raw: str) -> tuple[str, bool]:
             if kind == "class":
                 name += "".join("." + _DIGITS.sub("0", c) for c in sorted(set(value.split())))
             if kind in ("class", "id", "role") and tag not in ("body", "html"):
-                bad = NOT_ARTICLE if tag in ("article", "main") else NOISE
+                bad = NOT_ARTICLE if tag in ("article", "main") else NOISE if tag in STRUCTURE else NOISE_ANYWHERE
                 for part in value.split():
                     words = [w.lower() for w in _NAME.findall(part)]
                     skip |= bool(words) and words[0] not in LAYOUT and not bad.isdisjoint(words)
-            elif kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and "display:none" in value.replace(" ", "").lower():
-                skip = True
     return name, skip
 
 
-def blocks_of(page: str | None) -> list[tuple[str, str, int]]:
-    """(container path, text, length of link text) of each block in page order."""
+def blocks_of(page: str | None) -> list[tuple[str, str, int, bool]]:
+    """(container path, text, length of link text, whether a heading) of each block in page order."""
     page = page or ""
-    out: list[tuple[str, str, int]] = []
+    out: list[tuple[str, str, int, bool]] = []
     stack: list[tuple[str, str, bool]] = []  # tag, container path, skipped
     parts: list[str] = []
     link_from, linked = -1, 0
@@ -92,7 +100,7 @@ def blocks_of(page: str | None) -> list[tuple[str, str, int]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((stack[-1][1] if stack else "", text, linked))
+                out.append((stack[-1][1], text, linked, stack[-1][0] in HEADINGS) if stack else ("", text, linked, False))
             parts.clear()
         linked = 0
 
@@ -148,15 +156,21 @@ def blocks_of(page: str | None) -> list[tuple[str, str, int]]:
     return out
 
 
-def scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
+def worth(text: str, linked: int) -> float:
+    return float(max(0, len(text) - 2 * linked))
+
+
+def good_name(path: str) -> bool:
+    return not GOOD.isdisjoint(w.lower() for w in _NAME.findall(path.rpartition(">")[2]))
+
+
+def scores(blocks: list[tuple[str, str, int, bool]]) -> dict[str, float]:
     """Score of each container path of a page."""
     out: dict[str, float] = {}
-    for path, text, linked in blocks:
-        value = float(max(0, len(text) - 2 * linked))
+    for path, text, linked, _ in blocks:
+        value = worth(text, linked)
         for share in (1.0, 0.5):
-            last = path.rpartition(">")[2]
-            words = {w.lower() for w in _NAME.findall(last)}
-            bonus = 4.0 if last.split(".")[0] in ("article", "main") else 2.0 if not GOOD.isdisjoint(words) else 1.0
+            bonus = 4.0 if path.rpartition(">")[2].split(".")[0] in ("article", "main") else 2.0 if good_name(path) else 1.0
             out[path] = out.get(path, 0.0) + share * bonus * value
             path = path.rpartition(">")[0]
             if not path:
@@ -164,40 +178,80 @@ def scores(blocks: list[tuple[str, str, int]]) -> dict[str, float]:
     return out
 
 
-def best(found: dict[str, float]) -> str | None:
-    return min(found, key=lambda p: (-found[p], len(p), p), default=None)
+def vote(blocks: list[tuple[str, str, int, bool]]) -> tuple[str, float] | None:
+    """The path that a page votes for, and with what score."""
+    found = scores(blocks)
+    top = min(found, key=lambda p: (-found[p], len(p), p), default=None)
+    if top is None or found[top] <= 0:
+        return None
+    inside = lambda p: sum(worth(t, n) for q, t, n, _ in blocks if q == p or q.startswith(f"{p}>"))
+    path, held = top, inside(top)
+    while path and path.rpartition(">")[2].split(".")[0] not in ("article", "main"):
+        around = next((a for a in ancestors(path) if inside(a) - held >= held * (1.0 if good_name(path) else WIDER)), None)
+        if around is None:
+            break
+        path, held = around, inside(around)
+    return path, found[top]
+
+
+def ancestors(path: str) -> list[str]:
+    """The paths of the containers around one, innermost first."""
+    out = []
+    while path := path.rpartition(">")[0]:
+        out.append(path)
+    return out
+
+
+def paths_of(blocks: list[tuple[str, str, int, bool]]) -> set[str]:
+    """All containers that hold text."""
+    return {q for p in {b[0] for b in blocks} for q in (p, *ancestors(p))}
 
 
-def extract(blocks: list[tuple[str, str, int]], paths: list[str]) -> str:
-    """Blocks in and under the first of the paths that the page has text in, joined by line ends; else by the page's own best path."""
-    for path in [*paths, best(scores(blocks)) or ""]:
-        under = f"{path}>"
-        found = [text for p, text, _ in blocks if p == path or p.startswith(under) or not path]
-        if found:
-            return "\n".join(found)
-    return ""
+def extract(blocks: list[tuple[str, str, int, bool]], path: str | None) -> str:
+    """Blocks in and under a path, joined by line ends, after the headings that stand before them around it; without a path by the page's own vote."""
+    if path is None:
+        path = (vote(blocks) or ("",))[0]
+    under = f"{path}>"
+    at = [i for i, b in enumerate(blocks) if b[0] == path or b[0].startswith(under) or not path]
+    around = {*ancestors(path), ""}
+    heads = [b[1] for b in blocks[: at[0]] if b[3] and b[0] in around] if at else []
+    return "\n".join(heads + [blocks[i][1] for i in at])
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums: dict[tuple[str, str], list[float]] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = scores(blocks_of(page))
-            top = best(found)
-            if top is not None and found[top] > 0:
-                s = sums.setdefault((host, top), [0, 0.0])
+            if top := vote(blocks_of(page)):
+                s = sums.setdefault((host, top[0]), [0, 0.0])
                 s[0] += 1
-                s[1] += found[top]
+                s[1] += top[1]
         rows = [(h, p, int(n), v) for (h, p), (n, v) in sums.items()]
         cols = list(zip(*rows, strict=True)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.float64()), strict=True)], names=["host", "path", "pages", "score"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(ranks=None):
+    """Over rows (id, url, html, host or, without the table of ranks, the path): texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for page, way in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                blocks = blocks_of(page)
+                if ranks is not None:
+                    known = ranks.value.get(way, {})
+                    way = min((p for p in paths_of(blocks) if p in known), key=known.__getitem__, default=None)
+                texts.append(extract(blocks, way))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
+
+    return run
+
+
+def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pages, paths = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        texts = [extract(blocks_of(page), ways or []) for page, ways in zip(pages, paths, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
+        paths = [sorted(paths_of(blocks_of(page))) for page in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(paths, pa.list_(pa.string()))], names=["key", "host", "paths"])
 
 
 def host_of(url):
@@ -212,8 +266,15 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = spread(pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))).withColumn("host", host_of(F.col("url")))
     votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, pages long, score double").groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("score").alias("score"))
     rank = Window.partitionBy("host").orderBy(F.col("score").desc(), F.col("path"))
-    listed = votes.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= PATHS)
-    winners = cut(listed.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("ways")).select("host", F.col("ways.path").alias("paths")))
-    few = winners.count() <= MOST_HOSTS
-    joined = rows.join(F.broadcast(winners) if few else winners, "host", "left")
-    return joined.select("id", "url", "html", "paths").mapInArrow(_texts, "id long, url string, text string")
+    ranked = cut(votes.select("host", "path", F.row_number().over(rank).alias("rank")))
+    schema = "id long, url string, text string"
+    size = ranked.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 16).alias("n")).first().n or 0
+    if size <= MOST_BYTES:
+        table: dict[str, dict[str, int]] = {}
+        for r in ranked.toLocalIterator():
+            table.setdefault(r.host, {})[r.path] = r["rank"]
+        return rows.select("id", "url", "html", "host").mapInArrow(_texts(pages.sparkSession.sparkContext.broadcast(table)), schema)
+    keyed = rows.withColumn("key", F.xxhash64("id", "url", "html"))
+    own = keyed.select("key", "host", "html").mapInArrow(_paths, "key long, host string, paths array<string>").dropDuplicates(["key"])
+    choice = own.select("key", "host", F.explode("paths").alias("path")).join(ranked, ["host", "path"]).groupBy("key").agg(F.min_by("path", "rank").alias("way"))
+    return keyed.join(choice, "key", "left").select("id", "url", "html", "way").mapInArrow(_texts(), schema)

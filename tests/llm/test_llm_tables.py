@@ -111,8 +111,16 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <aside>Aside</aside><section id="comments"><p>Nice post!</p></section></div><footer>Foot</footer>"""
 
 
-def text_of(page, paths=()):
-    return main_text.extract(main_text.blocks_of(page), list(paths))
+def text_of(page, path=None):
+    return main_text.extract(main_text.blocks_of(page), path)
+
+
+def test_whole_articles_are_kept():
+    words = "word " * 30
+    assert text_of(f'<body><h1>Title</h1><div class="part-a"><p>{words}a</p></div><div class="part-b"><p>{words}b</p></div>') == f"Title\n{words}a\n{words}b"
+    assert text_of(f'<body><div class="top"><h1>Site</h1></div><h1>Title</h1><div class="content"><p>{words}a</p></div><div class="x"><p>More</p></div>') == f"Title\n{words}a"
+    inside = '<p class="tags">Tags</p><p><span class="search">found</span> <label>name</label></p><p hidden>kept</p><p><math><mi>x</mi></math> <svg><text>y</text></svg></p><p class="ad">Buy</p>'
+    assert text_of(f"<body><article><p>{words}a</p>{inside}</article>") == f"{words}a\nTags\nfound name\nkept\nx y"
 
 
 def test_article_without_the_rest():
@@ -140,6 +148,25 @@ def test_hosts_vote(spark):
     assert main_text.main_texts(df.limit(0)).count() == 0
 
 
+def test_every_path_of_a_host_votes(spark, monkeypatch):
+    """Far more templates than any cap would keep; the table sent to workers and the join give the same."""
+    draw = random.Random(5)
+    name = lambda k: "t" + "".join(chr(97 + int(c)) for c in str(k))
+    page = '<body><div class="{}"><p>{}</p></div><div class="{}x"><p>{}</p></div>'
+    rows = []
+    for k in range(60):
+        rows += [(5 * k + i, draw.choice(["http://one.org/", None, "odd"]), page.format(name(k), "story " * 40, name(k), "note")) for i in range(4)]
+        rows.append((5 * k + 4, "http://one.org/", page.format(name(k), "short", name(k), "a longer note beside the short text")))
+    rows += [rows[0], (None, None, None), (7000, "http://one.org/", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = sorted(main_text.main_texts(df).collect(), key=str)
+    for r in got:
+        if r.id is not None and r.id < 300 and r.url == "http://one.org/" and any(x[0] // 5 == r.id // 5 and x[0] % 5 < 4 and x[1] == r.url for x in rows[:300]):
+            assert r.text in ("short", ("story " * 40).strip())
+    monkeypatch.setattr(main_text, "MOST_BYTES", 0)
+    assert sorted(main_text.main_texts(df).collect(), key=str) == got and len(got) == len(rows)
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_pages_of_the_test_data(spark):
     import html

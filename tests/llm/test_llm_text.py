@@ -96,7 +96,7 @@ def test_lines_get_labels_of_their_own():
 
 def test_training_reads_whole_texts(spark):
     good = "\n".join(f"He walked along the old river number {i}, and thought." for i in range(150))
-    late = "\n".join(["He walked along the old river, and thought."] * 120 + ["a*** b$$$ c&&& d%%%"] * 400)
+    late = "\n".join([f"He walked along the old river number {i}, and thought." for i in range(120)] + [f"a{i}*** b$$$ c&&& d%%%" for i in range(400)])
     docs = spark.createDataFrame([(i, good, "x") for i in range(5)] + [(i, late, "x") for i in range(5, 10)] + [(9, "other", "x"), (None, late, "x")], "doc_id long, text string, y string")
     field = quality.train(docs, spark.createDataFrame([(i, int(i < 5)) for i in range(10)] + [(3, 1), (None, 1)], "doc_id long, quality int"))
     rows = {(r.id, r.n_words > 1): r for r in quality.judge(docs, field).collect()}
