@@ -14,7 +14,7 @@ keeps its first copy; all other copies go, there and elsewhere. Of a window that
 
 Defined results: null texts stay null and empty ones empty; a text all of whose chunks are copies becomes empty; rows with the same
 id are taken as one document, each row keeping the first copies; null ids are one document that comes last; very long texts are
-cut like others; an empty table gives no rows; other columns pass through, whatever their names.
+cut like others, and so are long runs without a boundary, as equal lines may make: one chunk; an empty table gives no rows; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ from sagaframe.session import cut, prepare, spread
 ROLL = 2
 RESIDUE = 3
 MIN_LINES = 2
-MAX_LINES = 64
 LONG = 50
 NO_ID = (1 << 63) - 1
 _ID, _PLAN = "__chunk_id", "__chunk_plan"
@@ -66,7 +65,7 @@ def chunks(text: str | None) -> list[tuple[int, int, bytes]]:
         rolled = 0
         for h in hashes[i + 1 - ROLL : i + 1]:
             rolled = (rolled * _PRIME + h) & _FULL
-        if (rolled >> 17) % RESIDUE == 0 or i + 1 - start >= MAX_LINES:
+        if (rolled >> 17) % RESIDUE == 0:
             close(i + 1)
             start, words = i + 1, 0
     close(len(lines))
