@@ -44,15 +44,19 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
 
 
 def at_limits(sums: DataFrame, limits: list[int]) -> DataFrame:
-    """context_limit, docs_over, truncated_tokens for any limits, from the suffix sums alone: one bounded row a limit."""
-    asked = sums.sparkSession.createDataFrame([(int(x),) for x in limits], "context_limit long")
-    above = F.col("n_tokens") > F.col("context_limit")
-    joined = asked.join(F.broadcast(sums.agg(F.collect_list(F.struct("n_tokens", "n_docs")).alias("h"))))
-    rows = joined.select("context_limit", F.explode_outer("h").alias("x")).select("context_limit", "x.*")
-    return rows.groupBy("context_limit").agg(
-        F.coalesce(F.sum(F.when(above, F.col("n_docs"))), F.lit(0)).alias("docs_over"),
-        F.coalesce(F.sum(F.least("n_tokens", "context_limit") * F.col("n_docs")), F.lit(0)).alias("truncated_tokens"),
-    )
+    """context_limit, docs_over, truncated_tokens for any limits, read off the suffix sums at the first length above each limit.
+
+    One aggregation with partial sums, an expression a limit; an empty histogram gives zeros.
+    """
+    row = F.struct("n_tokens", "docs_at_least", "tokens_at_least")
+    above = [F.min(F.when(F.col("n_tokens") > F.lit(int(x)), row)).alias(f"a{k}") for k, x in enumerate(limits)]
+    one = sums.agg(F.coalesce(F.max("all_tokens"), F.lit(0)).alias("all_tokens"), *above)
+
+    def at(k: int, limit: int):
+        over, after = (F.coalesce(F.col(f"a{k}.{c}"), F.lit(0)) for c in ("docs_at_least", "tokens_at_least"))
+        return F.struct(F.lit(int(limit)).cast("long").alias("context_limit"), over.alias("docs_over"), (F.col("all_tokens") - after + over * int(limit)).alias("truncated_tokens"))
+
+    return one.select(F.inline(F.array(*[at(k, x) for k, x in enumerate(limits)])))
 
 
 def quantile(sums: DataFrame, q: float) -> DataFrame:
