@@ -396,8 +396,14 @@ ORDER_TEXTS, ORDER_SHINGLES = 2000, 100_000
 MARKS = 1 << 24
 
 
+def row_key(id_col, text_col):
+    """Names a row by its id and text; rows equal in both share it."""
+    return F.xxhash64(F.coalesce(id_col.cast("long"), F.lit(NO_ID)), text_col.cast("string"))
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """id, component (smallest id reachable over pairs of texts whose shingle sets have at least the given Jaccard similarity)."""
+    """id, component, key, first: a row's id, the smallest id reachable over pairs of texts whose shingle sets have at least the given
+    Jaccard similarity, the row's `row_key`, and that of the component's first row (smallest id, then key)."""
     prepare(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
     some = rows.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // ORDER_TEXTS))) == 0)
@@ -405,7 +411,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     last = [r.h for r in counted.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).collect()][::-1]
     frequent = np.array(last, np.int64).view(np.uint64)
     by_hash = np.argsort(frequent)
-    rows = rows.select("id", F.xxhash64("id", "text").alias("key"), "text")
+    rows = rows.select("id", row_key(F.col("id"), F.col("text")).alias("key"), "text")
     found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent[by_hash], by_hash + 1), "id long, key long, d long, n long, heads array<long>"))
     nodes = found.groupBy("d").agg(F.min(F.struct("id", "key")).alias("row"), F.first("n").alias("n"), F.first("heads").alias("heads"))
     shard = Window.partitionBy("h")
@@ -440,10 +446,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     placed = shared.join(joined, "d", "left").select("h", "d", "n", F.col("p").cast("long").alias("p"), F.coalesce("root", "d").alias("r"))
     crossing = placed.repartition("h").sortWithinPartitions("h").mapInArrow(_crossing(similarity), "a long, b long")
     roots = components(stars.unionByName(verified(crossing))).withColumnRenamed("a", "d")
-    rooted = named.join(roots, "d", "left").select("d", "id", F.coalesce("root", "d").alias("r"))
-    first = rooted.groupBy("r").agg(F.min("id").alias("component"))
+    rooted = named.join(roots, "d", "left").select("d", "id", "key", F.coalesce("root", "d").alias("r"))
+    first = rooted.groupBy("r").agg(F.min(F.struct("id", "key")).alias("f")).select("r", F.col("f.id").alias("component"), F.col("f.key").alias("first"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return found.select("id", "d").join(rooted.select("d", "r").join(first, "r"), "d").select(back("id"), back("component"))
+    return found.select("id", "d", "key").join(rooted.select("d", "r").join(first, "r"), "d").select(back("id"), back("component"), "key", "first")
 
 
 def hex_of(fp):

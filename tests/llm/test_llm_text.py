@@ -406,6 +406,16 @@ def test_chunks_are_shift_resistant():
     assert len(a & b) >= len(a) - 2
 
 
+def test_boundaries_never_come_from_positions():
+    same = ["equal line here"] * 500
+    draw = random.Random(2)
+    line = lambda: " ".join(draw.choices(WORDS, k=8))
+    tails = [line() + f" {i}" for i in range(40)]
+    a = {c for _, _, c in line_dedup.chunks("\n".join(same + tails))}
+    b = {c for _, _, c in line_dedup.chunks("\n".join(same[:471] + tails))}
+    assert len(a & b) >= len(a) - 2
+
+
 def test_repeats_go_and_first_copies_stay(spark):
     draw = random.Random(5)
     line = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
