@@ -95,10 +95,27 @@ def test_mix(spark):
     assert mixing.copies(df.limit(0)).count() == 0
 
 
-def test_newton_solves_the_dual(spark):
-    df = spark.createDataFrame([(1e6, t) for t in (1.0, 17.0, 5e5, 1e6, 2.9e6, 3e6)], "s double, t double")
-    for r in df.select("t", (F.col("s") * F.exp(mixing.newton(F.col("s"), F.col("t")))).alias("got")).collect():
-        assert r.got == pytest.approx(r.t, rel=1e-9)
+def test_balance_meets_every_margin(spark):
+    schema = "source string, lang string, tokens long"
+    cells = spark.createDataFrame([("a", "x", 1000), ("a", "y", 10), ("b", "x", 500), ("b", "y", 4000), (None, "y", 70), (None, "x", 7), ("z", "x", 9), ("e", "x", 0)], schema)
+    sources = spark.createDataFrame([("a", 2000.0), ("b", 100.0), (None, 50.0), ("z", 0.0), ("e", 0.0)], "source string, target double")
+    langs = spark.createDataFrame([("x", 1500.0), ("y", 650.0)], "lang string, target double")
+    rows = mixing.balance(cells, {"source": sources, "lang": langs}).collect()
+    assert len(rows) == 8
+    for col, want in (("source", {"a": 2000, "b": 100, None: 50, "z": 0, "e": 0}), ("lang", {"x": 1500, "y": 650})):
+        for k, t in want.items():
+            assert sum(r.tokens * r.rate for r in rows if r[col] == k) == pytest.approx(t, rel=1e-9)
+    rate = {(r.source, r.lang): r.rate for r in rows}  # tilts: a product of one factor a source and one a language
+    assert rate["a", "x"] * rate["b", "y"] == pytest.approx(rate["a", "y"] * rate["b", "x"])
+    with pytest.raises(ValueError):
+        mixing.balance(cells, {"source": sources, "lang": spark.createDataFrame([("x", 1.0), ("y", 1.0)], "lang string, target double")})
+
+
+@pytest.mark.parametrize("target", [1e-6, 5e5, 3e6])
+def test_iterations_go_on_until_they_end(spark, target):
+    one = spark.createDataFrame([("a", 1_000_000)], "source string, tokens long")
+    r = mixing.balance(one, {"source": spark.createDataFrame([("a", target)], "source string, target double")}).first()
+    assert 1e6 * r.rate == pytest.approx(target, rel=1e-9)
 
 
 # 9
@@ -218,6 +235,7 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in first.collect()} == set(parent.values()) and len(set(parent.values())) < len(whole)
     mixed = cut(stage["mixing"](spark, first, FOLDER))
     times = {r.id: r.copies for r in mixing.copies(first).collect()}
+    assert sum(times.values()) > 0
     counts = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
     assert counts == {i: n for i, n in times.items() if n} and mixed.columns == docs.columns
     ids = stage["bpe"](spark, mixed, FOLDER)
