@@ -14,6 +14,10 @@ Blocks that cross line ends: hard-wrapped notices are met as windows of as many
 text must have `need` of a template's words at all before its windows are counted. Overlapping windows that meet a template and hold
 words of it on two lines or more are one block, with their best containment and that window's first line.
 
+Labels: all blocks that meet a template are found, but several licenses share most of their words. A block names a license (`named`) if
+it holds the template's naming words, and no other template whose naming words it holds is met better by a block that shares a line with
+it (more of its words, then a longer one).
+
 Phrases: three fixed phrases are found wherever their words stand consecutively, over line ends too.
 
 Defined results: null texts are empty and hold nothing; very long texts and lines are read whole; a template that several blocks
@@ -37,26 +41,37 @@ THRESHOLD = 0.8
 # The phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Wordings of public licenses and of notices that name them.
+# Label, the words that name the license, and the wording of public licenses and of notices that name them.
 TEMPLATES = (
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Licensed under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("lgpl", "licensed under the GNU Lesser General Public License"),
-    ("agpl", "licensed under the GNU Affero General Public License"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-4.0", "Licensed under CC BY 4.0"),
-    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc0", "dedicated to the public domain under CC0"),
-    ("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("reserved", "All rights reserved"),
+    ("apache-2.0", "apache", "Licensed under the Apache License, Version 2.0"),
+    ("apache-2.0", "compliance", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("apache-2.0", "warranties conditions", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("mit", "mit", "Released under the MIT License"),
+    ("mit", "mit", "Licensed under the MIT License"),
+    ("mit", "permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "sublicense", "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
+    ("isc", "permission", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("gpl-3.0", "gnu 3", "This work is licensed under the GNU General Public License, version 3"),
+    ("gpl-2.0", "gnu 2", "This work is licensed under the GNU General Public License, version 2"),
+    ("gpl", "gnu redistribute", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("gpl", "gnu received", "You should have received a copy of the GNU General Public License along with this program."),
+    ("lgpl", "lesser", "licensed under the GNU Lesser General Public License"),
+    ("agpl", "affero", "licensed under the GNU Affero General Public License"),
+    ("bsd", "redistribution", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("bsd", "redistributions binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd-3-clause", "endorse", "may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("boost-1.0", "boost", "Distributed under the Boost Software License, Version 1.0."),
+    ("zlib", "misrepresented", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+    ("unlicense", "unencumbered", "This is free and unencumbered software released into the public domain."),
+    ("cc-by-nc-4.0", "nc", "Licensed under CC BY-NC 4.0"),
+    ("cc-by-4.0", "cc by 4", "Licensed under CC BY 4.0"),
+    ("cc-by-sa-4.0", "sa", "Licensed under CC BY-SA 4.0"),
+    ("cc-by-4.0", "creative attribution", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa-4.0", "creative sharealike", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nc-4.0", "creative noncommercial", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc0", "cc0", "dedicated to the public domain under CC0"),
+    ("mpl-2.0", "mozilla", "subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("epl-2.0", "eclipse", "made available under the terms of the Eclipse Public License 2.0"),
 )
 
 _WORD_BYTES = bytes(
@@ -74,7 +89,8 @@ class Templates:
     """Templates under a global order of their words."""
 
     def __init__(self, templates=TEMPLATES, threshold: float = THRESHOLD, frequency: dict[bytes, int] | None = None) -> None:
-        sets = [(label, frozenset(normal(text).split())) for label, text in templates]
+        sets = [(label, frozenset(normal(text).split())) for label, _, text in templates]
+        self.naming = [frozenset(normal(names).split()) for _, names, _ in templates]
         self.universe = frozenset().union(*(s for _, s in sets))
         frequency = frequency or {}
         self.place = {w: i for i, w in enumerate(sorted(self.universe, key=lambda w: (frequency.get(w, 0), w)))}
@@ -84,7 +100,7 @@ class Templates:
             for w in words[: len(words) - need + 1]:
                 self.by_prefix.setdefault(w, []).append(t)
         self.rare = frozenset(self.by_prefix)
-        self.lengths = [len(normal(text).split()) for _, text in templates]
+        self.lengths = [len(normal(text).split()) for *_, text in templates]
 
     def met(self, words: list[bytes]) -> list[tuple[int, float]]:
         """(template, containment) for one block."""
@@ -103,8 +119,8 @@ class Templates:
                     out.append((t, common / len(template)))
         return out
 
-    def wrapped(self, lines: list[list[bytes]]) -> list[tuple[int, int, float]]:
-        """(line, template, containment) of the blocks that cross line ends."""
+    def wrapped(self, lines: list[list[bytes]]) -> list[tuple[int, int, float, int]]:
+        """(first line, template, containment, last line) of the blocks that cross line ends."""
         hits = []
         at = 0
         for i, words in enumerate(lines):
@@ -126,19 +142,35 @@ class Templates:
                     left += 1
                 if len(words) < need or own[left][1] == line:
                     continue
-                found = (len(words) / len(template), own[left][1])
+                found = (len(words) / len(template), own[left][1], line)
                 if best and own[left][0] <= end:
                     best = found if found[0] > best[0] else best
                 else:
                     if best:
-                        out.append((best[1], t, best[0]))
+                        out.append((best[1], t, best[0], best[2]))
                     best = found
                 end = place
             if best:
-                out.append((best[1], t, best[0]))
+                out.append((best[1], t, best[0], best[2]))
         return out
 
 
+    def blocks(self, lines: list[list[bytes]]) -> list[dict]:
+        """All blocks of a text that meet a template, and whether they name a license."""
+        found = [(i, t, c, i) for i, line in enumerate(lines) for t, c in self.met(line)] + self.wrapped(lines)
+        holds = [all(any(w in line for line in lines[i : end + 1]) for w in self.naming[t]) for i, t, _, end in found]
+        rank = lambda t, c: (round(c, 9), len(self.sets[t][1]))
+        # Overlaps are read off a list of the best rank on each line.
+        best: dict[int, tuple] = {}
+        for (i, t, c, end), ok in zip(found, holds, strict=True):
+            for line in range(i, end + 1) if ok else ():
+                best[line] = max(best.get(line, (0.0, 0)), rank(t, c))
+        return [
+            {"line": i, "label": self.sets[t][0], "containment": c, "named": ok and all(best[line] <= rank(t, c) for line in range(i, end + 1))}
+            for (i, t, c, end), ok in zip(found, holds, strict=True)
+        ]
+
+
 def phrase_places(words: list[bytes], phrases=PHRASES) -> list[tuple[str, int]]:
     """(label, first word) of every place."""
     joined, out = b" " + b" ".join(words) + b" ", []
@@ -164,7 +196,7 @@ def _frequencies(universe: frozenset[bytes]):
     return run
 
 
-_BLOCKS = pa.list_(pa.struct([("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))
+_BLOCKS = pa.list_(pa.struct([("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64()), ("named", pa.bool_())]))
 _PLACES = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
 
 
@@ -179,10 +211,7 @@ def _scan(templates: Templates):
                 places.append([{"label": a, "word": b} for a, b in phrase_places(words)])
                 found = []
                 if not templates.rare.isdisjoint(words):
-                    lines = [line.split() for line in clean.split(b"\n")]
-                    for i, line in enumerate(lines):
-                        found += [{"line": i, "label": templates.sets[t][0], "containment": c} for t, c in templates.met(line)]
-                    found += [{"line": i, "label": templates.sets[t][0], "containment": c} for i, t, c in templates.wrapped(lines)]
+                    found = templates.blocks([line.split() for line in clean.split(b"\n")])
                 blocks.append(found)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(places, _PLACES), pa.array(blocks, _BLOCKS)], names=["id", "n_words", "places", "blocks"])
 
@@ -190,11 +219,11 @@ def _scan(templates: Templates):
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """id, n_words, places (label, word) of phrases, blocks (first line, label, containment) that meet a template."""
+    """id, n_words, places (label, word) of phrases, blocks (first line, label, containment, named) that meet a template."""
     prepare(docs.sparkSession)
     rows = spread(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
     universe = Templates(templates, threshold).universe
     counted = rows.select("text").mapInArrow(_frequencies(universe), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     frequency = {bytes(r.word): r.n for r in counted.collect()}  # no more rows than template words
     ordered = Templates(templates, threshold, frequency)
-    return rows.mapInArrow(_scan(ordered), "id long, n_words long, places array<struct<label:string,word:bigint>>, blocks array<struct<line:bigint,label:string,containment:double>>")
+    return rows.mapInArrow(_scan(ordered), "id long, n_words long, places array<struct<label:string,word:bigint>>, blocks array<struct<line:bigint,label:string,containment:double,named:boolean>>")

@@ -34,12 +34,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    named = F.filter("blocks", lambda b: b["named"])
     joined = lambda *xs: F.array_join(F.array_sort(F.array_distinct(F.concat(*xs))), ",")
     return found.select(
         F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min("places.word").alias("first_word"), F.array_max("places.word").alias("last_word"),
-        joined("places.label").alias("base_labels"), joined("places.label", "blocks.label").alias("labels"),
-        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("blocks.containment"), F.lit(0.0))).alias("score"),
+        joined("places.label").alias("base_labels"), joined("places.label", named["label"]).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max(named["containment"]), F.lit(0.0))).alias("score"),
     )
 
 

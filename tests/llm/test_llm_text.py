@@ -365,6 +365,28 @@ def test_license_scan_over_a_frame(spark):
     assert [got[i].n_words for i in range(9)] == [6, 4, 3, 4, 5, 0, 0, 3, 3]
 
 
+def test_notices_name_one_license():
+    t = license_scan.Templates()
+    label = lambda text: sorted({b["label"] for b in t.blocks([x.split() for x in license_scan.normal(text).split(b"\n")]) if b["named"]})
+    assert label("This work is licensed under the GNU General Public License, version 2") == ["gpl-2.0"]
+    assert label("Licensed under the Apache License, Version 2.0 (the License);\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n") == ["apache-2.0"]
+    assert label("Licensed under the GNU Lesser General Public License") == ["lgpl"] and label("Licensed under CC BY-SA 4.0") == ["cc-by-sa-4.0"]
+    assert label("Licensed under the Foo License") == [] == label("the rights were all reserved")
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+    of this software and associated documentation files (the "Software"), to deal
+    in the Software without restriction, including without limitation the rights
+    to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+    copies of the Software, and to permit persons to whom the Software is
+    furnished to do so, subject to the following conditions:"""
+    bsd = """Redistribution and use in source and binary forms, with or without
+    modification, are permitted provided that the following conditions are met:"""
+    gpl = """This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or"""
+    assert label(mit) == ["mit"] and label(bsd) == ["bsd"] and label(gpl) == ["gpl"]
+    assert label(f"x\n{mit}\n\n\n{bsd}") == ["bsd", "mit"]
+
+
 def test_notices_over_line_ends(spark):
     texts = [
         "x\n# You may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\ny",
@@ -372,11 +394,11 @@ def test_notices_over_line_ends(spark):
         "Redistribution and use in source and binary forms, with or without\nmodification, are permitted",
         "Redistribution and use in source\n" + "far away " * 9 + "\nbinary forms, with or without modification, are permitted",
     ]
-    got = {r.id: {b.label: (b.line, b.containment) for b in r.blocks} for r in license_scan.scan(frame(spark, texts)).collect()}
+    got = {r.id: {b.label: (b.line, b.containment) for b in r.blocks if b.named} for r in license_scan.scan(frame(spark, texts)).collect()}
     assert got == {0: {"apache-2.0": (1, 1.0)}, 1: {"mit": (0, 1.0)}, 2: {"bsd": (0, 1.0)}, 3: {}}
     draw, t = random.Random(6), license_scan.Templates()
     for _ in range(300):
-        words = [w.encode() for x in draw.choices(license_scan.TEMPLATES, k=3) for w in license_scan.normal(x[1]).decode().split() if draw.random() < 0.9]
+        words = [w.encode() for x in draw.choices(license_scan.TEMPLATES, k=3) for w in license_scan.normal(x[2]).decode().split() if draw.random() < 0.9]
         words = [x for w in words for x in ([w, b"other"] if draw.random() < 0.1 else [w])]
         cuts = sorted(draw.sample(range(len(words)), min(len(words), 6)))
         lines = [words[a:b] for a, b in zip([0, *cuts], [*cuts, len(words)], strict=True)]
@@ -389,7 +411,7 @@ def test_notices_over_line_ends(spark):
                 if n >= need and where[hits[0]] != where[hits[-1]]:
                     best[k] = max(best.get(k, 0), n / len(template))
         found = {}
-        for _, k, c in t.wrapped(lines):
+        for _, k, c, _ in t.wrapped(lines):
             found[k] = max(found.get(k, 0), c)
         assert found == best
 
