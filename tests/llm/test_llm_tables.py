@@ -49,6 +49,36 @@ def test_neighbours_against_brute_force(spark):
     assert [i for i, _ in got[500]] == [501, 502, 503, 504, 505]
 
 
+def test_blocks_hold_every_cell():
+    sizes = np.array([0, 5, 3000, 0, 2040, 9, 1, 10_000, 0, 7])
+    first, parts = neighbours.layout(sizes)
+    load = {}
+    for c in np.flatnonzero(sizes):
+        for b in range(first[c], first[c] + parts[c]):
+            load[b] = load.get(b, 0) + sizes[c] / parts[c]
+    assert max(load.values()) <= neighbours.BLOCK and sorted(load) == list(range(len(load)))
+
+
+@pytest.mark.parametrize("most", [65_536, 7])
+def test_recall_on_vectors_without_clusters(spark, monkeypatch, most):
+    monkeypatch.setattr(neighbours, "QUERIES", most)
+    x = np.random.default_rng(4).normal(size=(8000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.nearest_neighbours(df, F.col("id") % 200 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    u = x / np.sqrt((x * x).sum(1, keepdims=True))
+    hits = sum(len(set(np.argsort(-(u @ u[q]))[1:6].tolist()) & v) for q, v in got.items())
+    assert len(got) == 40 and hits >= 0.9 * 5 * 40
+
+
+def test_rows_that_share_an_id_and_vectors_of_other_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.1]), (1, [1.0, 1.0]), (0, [1.0, 0.0, 0.0]), (7, [0.0, 1.0, 0.0])]
+    found = neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0)
+    got = sorted((r["rank"], r.vec_id, round(r.score, 3)) for r in found.collect())
+    assert got == [(1, 0, 0.995), (1, 0, 0.995), (1, 7, 0.0), (2, 1, 0.707), (2, 1, 0.774)]
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])], schema)
