@@ -19,8 +19,10 @@ Similarity. `similar_documents` uses no fingerprints: it links the texts whose s
 `similarity` or more, all of them and no others (shingles are told apart by 64-bit hashes). Shingles have one global order, those that
 are frequent in some texts last and the others by hash; any order gives the same links, this one keeps shards small. Two such
 sets share one of their first n - ceil(similarity * n) + 1 shingles, so each of these is a shard key (prefix filter). In each shard the
-members are compared with one of them first; then all pairs are that these links left in different components and whose lengths
-and places in the order still allow the similarity. What the first shingles leave possible is counted on the whole sets before it links.
+members are first compared with the one before them, in an order by hash that is another one in every shard, which joins most of a large
+group of near copies; then all pairs are compared that these links left in different components and whose lengths and places in the
+order still allow the similarity, and so do bitmaps: a set's bitmap says of each of PARITY parts of all hashes whether it holds
+an odd number of them, and two sets differ in at least as many shingles as their bitmaps in bits. What the first shingles leave possible is counted on the whole sets before it links.
 """
 
 from __future__ import annotations
@@ -278,6 +280,15 @@ def _digest(hashes: np.ndarray) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+#: Bits of a set's bitmap.
+PARITY = 1024
+
+
+def parity(hashes: np.ndarray) -> bytes:
+    """A bit for each part of all hashes: whether the set holds an odd number of them."""
+    return np.packbits(np.bincount((hashes >> np.uint64(7)).astype(np.int64) % PARITY, minlength=PARITY).astype(np.uint8) & 1).tobytes()
+
+
 def _all_shingles(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,22 +299,23 @@ def _all_shingles(shingle: int):
 
 
 def _heads(shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarray):
-    """Rows (id, key, text) as (id, key, digest, size, first shingles in the global order)."""
+    """Rows (id, key, text) as (id, key, digest, size, bitmap, first shingles in the global order)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ds, ns, heads = [], [], []
+            ds, ns, bits, heads = [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingle_set(text, shingle)
                 n = len(s)
                 ds.append(_digest(s))
                 ns.append(n)
+                bits.append(parity(s))
                 if n and len(frequent):
                     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                     s = s[np.argsort(np.where(frequent[at] == s, rank[at], 0), kind="stable")]
                 heads.append(s[: n - ceil(similarity * n - 1e-9) + 1].view(np.int64))
-            cols = [pa.array(ds, pa.int64()), pa.array(ns, pa.int64()), pa.array(heads, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["id", "key", "d", "n", "heads"])
+            cols = [pa.array(ds, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary()), pa.array(heads, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["id", "key", "d", "n", "bits", "heads"])
 
     return run
 
@@ -361,15 +373,20 @@ def _alike(similarity: float):
 
 
 def _crossing(similarity: float):
-    """Over rows (h, d, n, p, r) sorted by h: pairs of a shard's members of different components r that may have the similarity."""
+    """Over rows (h, d, n, p, r, bits) sorted by h: pairs of a shard's members of different components r that may have the similarity."""
 
-    def pairs(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        d, n, p, r = np.concatenate(parts, axis=1)
+    def pairs(parts: list[tuple[np.ndarray, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+        d, n, p, r = np.concatenate([x for x, _ in parts], axis=1)
+        bits = np.frombuffer(b"".join(b for _, bs in parts for b in bs), np.uint64).reshape(len(d), -1)
         for i in range(len(d) - 1):
             least = np.ceil(similarity / (1 + similarity) * (n[i] + n[i + 1 :]) - 1e-9)
             may = (r[i] != r[i + 1 :]) & (np.minimum(n[i] - p[i], n[i + 1 :] - p[i + 1 :]) >= least)
             may &= np.minimum(n[i], n[i + 1 :]) >= similarity * np.maximum(n[i], n[i + 1 :]) - 1e-9
-            other = d[i + 1 :][may]
+            at = i + 1 + np.flatnonzero(may)
+            if len(at):
+                differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                at = at[differ <= (1 - similarity) / (1 + similarity) * (n[i] + n[at]) + 1e-9]
+            other = d[at]
             if len(other):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(d[i], other)), pa.array(np.maximum(d[i], other))], names=["a", "b"])
 
@@ -377,13 +394,14 @@ def _crossing(similarity: float):
         held_key, parts = None, []
         for batch in batches:
             h, *rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            bits = batch.column(5)
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])).tolist() if len(h) else []
             for at, end in zip(starts, [*starts[1:], len(h)], strict=True):
                 if h[at] != held_key:
                     if parts:
                         yield from pairs(parts)
                     held_key, parts = h[at], []
-                parts.append(np.stack([c[at:end] for c in rest]))
+                parts.append((np.stack([c[at:end] for c in rest]), bits[at:end].to_pylist()))
         if parts:
             yield from pairs(parts)
 
@@ -412,12 +430,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     frequent = np.array(last, np.int64).view(np.uint64)
     by_hash = np.argsort(frequent)
     rows = rows.select("id", row_key(F.col("id"), F.col("text")).alias("key"), "text")
-    found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent[by_hash], by_hash + 1), "id long, key long, d long, n long, heads array<long>"))
+    found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent[by_hash], by_hash + 1), "id long, key long, d long, n long, bits binary, heads array<long>"))
     nodes = found.groupBy("d").agg(F.min(F.struct("id", "key")).alias("row"), F.first("n").alias("n"), F.first("heads").alias("heads"))
-    shard = Window.partitionBy("h")
+    bits = found.groupBy("d").agg(F.first("bits").alias("bits"))
+    order = Window.partitionBy("h").orderBy(F.xxhash64("d", "h"), "d")
     dealt = nodes.select("d", "n", F.posexplode("heads").alias("p", "h"))
-    held = dealt.select("*", F.count(F.lit(1)).over(shard).alias("m"), F.min(F.struct("d", "n", "p")).over(shard).alias("c"))
-    shared = cut(held.filter("m > 1").drop("m"))
+    held = dealt.select("*", F.lag(F.struct("d", "n", "p")).over(order).alias("c"), F.lead("d").over(order).isNull().alias("last"))
+    shared = cut(held.filter("c is not null or not last").drop("last"))
     named = cut(nodes.select("d", "row.*"))
     # What two sets must have in common, and what they can have: what their first shingles do, and either's rest.
     least = lambda n, m: F.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
@@ -441,11 +460,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return cut(both.mapInArrow(_alike(similarity), "a long, b long"))
 
     may = F.least(F.col("n") - F.col("p"), F.col("c.n") - F.col("c.p")) >= least(F.col("n"), F.col("c.n"))
-    stars = verified(shared.filter((F.col("d") != F.col("c.d")) & may).select(F.col("c.d").alias("a"), F.col("d").alias("b")))
-    joined = components(stars).withColumnRenamed("a", "d")
+    chains = verified(shared.filter(F.col("c").isNotNull() & may).select(F.least("c.d", "d").alias("a"), F.greatest("c.d", "d").alias("b")))
+    joined = components(chains).withColumnRenamed("a", "d")
     placed = shared.join(joined, "d", "left").select("h", "d", "n", F.col("p").cast("long").alias("p"), F.coalesce("root", "d").alias("r"))
+    # Bitmaps travel with members of shards of two components or more alone.
+    open_shards = placed.groupBy("h").agg(F.min("r").alias("x"), F.max("r").alias("y")).filter("x < y").select("h")
+    placed = placed.join(open_shards, "h", "left_semi").join(bits, "d").select("h", "d", "n", "p", "r", "bits")
     crossing = placed.repartition("h").sortWithinPartitions("h").mapInArrow(_crossing(similarity), "a long, b long")
-    roots = components(stars.unionByName(verified(crossing))).withColumnRenamed("a", "d")
+    roots = components(chains.unionByName(verified(crossing))).withColumnRenamed("a", "d")
     rooted = named.join(roots, "d", "left").select("d", "id", "key", F.coalesce("root", "d").alias("r"))
     first = rooted.groupBy("r").agg(F.min(F.struct("id", "key")).alias("f")).select("r", F.col("f.id").alias("component"), F.col("f.key").alias("first"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)

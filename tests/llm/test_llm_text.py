@@ -191,6 +191,15 @@ def test_similar_documents_finds_near_copies(spark):
     assert len(set(got.values())) >= 40
 
 
+def test_bitmaps_bound_the_difference():
+    draw = np.random.default_rng(1)
+    for _ in range(200):
+        pool = draw.integers(0, 1 << 63, 3000, dtype=np.uint64)
+        a, b = (np.unique(draw.choice(pool, draw.integers(0, 2500))) for _ in range(2))
+        x, y = (np.frombuffer(simhash.parity(s), np.uint64) for s in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_similar_documents_are_those_of_brute_force(spark):
     draw = random.Random(5)
     texts = ["", None, "a b", "A  b"]
