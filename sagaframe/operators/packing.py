@@ -35,13 +35,13 @@ class BatchRules:
 
 
 def marginal(item: dict, axes: set, chapters: set, tokens: int, used: int, rules: BatchRules) -> float:
-    """Worth of one more item for a batch."""
+    """Worth of one more item for a batch; the pressure is that of the item's own tokens."""
     own = set(item["axes"])
     score = item["confidence"] + rules.novelty * (len(own - axes) / len(own) if own else 0.0) + rules.evidence * item["evidence"]
     same = item["chapter"] in chapters
     score += rules.overlap * (1.0 if same else 0.0)
     score += rules.capacity * max(0.0, min(min(score * 1000 / max(item["tokens"], 1), 2.0) / 2.0, 1.0))
-    p = min(1.0, (tokens + item["tokens"]) / rules.token_budget)
+    p = min(1.0, item["tokens"] / rules.token_budget)
     score -= rules.duplicate * used + (rules.repeat_chapter if same else 0.0) + rules.pressure * p + 0.75 * rules.pressure * p * p
     return round(max(0.0, score), 4)
 

@@ -44,14 +44,6 @@ class RoutingRules:
     features: dict[str, Column] = field(default_factory=dict)
 
 
-def chapter_position(number: Column, group: str | None = None) -> Column:
-    """(dense rank - 1) / (n - 1) of a chapter number."""
-    by = Window.partitionBy(group) if group else Window.partitionBy()
-    rank = F.dense_rank().over(by.orderBy(number))
-    n = F.max("_rank").over(by)
-    return rank, n
-
-
 def hint_score(base: float, evidence: Column) -> Column:
     """A hint's score grows by .1 for up to three pieces of evidence."""
     return F.least(F.lit(1.0), F.lit(base) + 0.1 * F.least(evidence, F.lit(3)))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sagaframe.session import cut
+
 
 def even_places(n: int, limit: int) -> list[int]:
     """Places 0.. of `limit` evenly spaced rows of n; halves round to even, and a place that was taken moves on by one."""
@@ -26,7 +28,8 @@ def even_sample(df: DataFrame, order: list[str], limit: int) -> DataFrame:
     if limit <= 0 or limit >= n:
         return df
     spark = df.sparkSession
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
+    # Kept, for a range partitioning that is computed twice is not cut alike.
+    parts = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     sizes = {r["_p"]: r["count"] for r in parts.groupBy("_p").count().collect()}  # one row a partition
     starts, at = {}, 0
     for p in sorted(sizes):
