@@ -253,11 +253,12 @@ SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY q_id ORDER BY score DE
 
 def hybrid_rerank(spark, d):
     docs, e = read_table(spark, d, "documents"), read_table(spark, d, "embeddings")
-    vec = e.select(F.col("vec_id").alias("doc_id"), "embedding")
+    vec = e.select(F.col("vec_id").alias("id"), "embedding")
     q = e.filter("vec_id = 0").select(F.col("embedding").alias("q_vec"))
     lexical = X.clip_ratio(X.keyword_hits(F.lower("text"), ("the", "tion", "ing", "re ", "han")), 5)
-    c = docs.join(vec, "doc_id", "left").join(F.broadcast(q)).select(F.col("lang").alias("g"), F.col("doc_id").alias("id"), F.col("source").alias("title"), lexical.alias("lexical"), F.round(similarity.cosine(F.col("q_vec"), F.col("embedding")), 4).alias("emb"))
-    return similarity.hybrid_search(c, ["g"], 5, F.col("emb")).select("g", "id", "title", "lexical", "score", "rank")
+    c = docs.select(F.col("lang").alias("g"), F.col("doc_id").alias("id"), F.col("source").alias("title"), lexical.alias("lexical"))
+    with_vectors = lambda short: short.join(vec, "id", "left").join(F.broadcast(q))
+    return similarity.hybrid_search(c, ["g"], 5, F.round(similarity.cosine(F.col("q_vec"), F.col("embedding")), 4), with_vectors).select("g", "id", "title", "lexical", "score", "rank")
 
 
 SQL_HYBRID = """WITH c AS (SELECT lang AS g, doc_id AS id, source AS title, round(least((contains(lower(text), 'the')::INT + contains(lower(text), 'tion')::INT + contains(lower(text), 'ing')::INT + contains(lower(text), 're ')::INT + contains(lower(text), 'han')::INT) / 5, 1), 4) AS lexical,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sagaframe.functions import text as X
-from sagaframe.operators import canon, chunking, cleaning, evaluation, graph, merging, packing, providers, sampling, segments, similarity
+from sagaframe.operators import canon, chunking, cleaning, evaluation, graph, merging, packing, providers, sampling, segments, signals, similarity
 from sagaframe.sources import files
 
 
@@ -100,6 +100,30 @@ def test_empty_selection_is_no_filter(spark):
     assert sampling.in_selection(df, spark.createDataFrame([], "k long"), "k").count() == 3
 
 
+def test_even_sample_is_exact_over_many_partitions(spark):
+    df = spark.range(0, 200_000, 1, 12).select((F.col("id") * 7919 % 200_003).alias("k"))
+    keys = sorted(i * 7919 % 200_003 for i in range(200_000))
+    assert sorted(r.k for r in sampling.even_sample(df, ["k"], 50).collect()) == [keys[i] for i in sampling.even_places(200_000, 50)]
+
+
+def test_pressure_is_that_of_the_item():
+    item = {"item": 1, "kind": "k", "chapter": "1", "tokens": 500, "confidence": 0.5, "evidence": 0.2, "axes": ["a"]}
+    rules = packing.BatchRules(token_budget=1000, capacity=0.0)
+    assert packing.marginal(item, set(), set(), 0, 0, rules) == packing.marginal(item, set(), set(), 400, 0, rules) == round(0.5 + 0.3 + 0.15 * 0.2 - 0.2 * 0.5 - 0.75 * 0.2 * 0.25, 4)
+
+
+def test_signals_of_small_tables(spark):
+    one = spark.createDataFrame([(1, 5), (2, 5), (3, None)], "item long, chapter long")
+    assert [tuple(r) for r in signals.chapter_positions(one, "item", "chapter").orderBy("item").collect()] == [(1, 0.5), (2, 0.5)]
+    few = spark.createDataFrame([("a",), ("b",)], "b string")
+    assert [r.worker for r in signals.worker_shares(few, "b", 5).orderBy("b").collect()] == [0, 1]
+    with pytest.raises(ValueError):
+        signals.gold_cases(few, "b", "c")
+    rows = spark.createDataFrame([("g", i, t) for i, t in enumerate([50, 60, 40, 5, 9])], "g string, k long, t long")
+    assert [r.k for r in signals.within_budget(rows, "g", [F.col("k")], "t", "k", 100, 3).orderBy("place").collect()] == [0, 2, 3]
+    assert signals.within_budget(rows.limit(0), "g", [F.col("k")], "t", "k", 100, 3).count() == 0
+
+
 def test_alias_groups_are_not_components(spark):
     rows = spark.createDataFrame([("p", 1, ["a"], 1), ("p", 2, ["b"], 2), ("p", 3, ["a", "b"], 3), ("p", 4, ["b"], 4)], "path string, id int, aliases array<string>, o int")
     assert [r.group_no for r in merging.alias_groups(rows, "path", "id", "aliases", "o").orderBy("id").collect()] == [0, 1, 0, 1]
