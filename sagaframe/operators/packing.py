@@ -1,18 +1,21 @@
 """Batch planning: greedy packing of routed items under token, item and type limits.
 
-Within a bucket each choice depends on the one before, so a bucket is packed by ordered Python in one grouped function; buckets are
-bounded by `most_items` a task, beyond which a bucket is cut into ordered shards that are planned alike. The fair round robin over
+Within a bucket each choice depends on the one before, so a bucket is packed by ordered Python in one grouped function. A plan takes
+`batches * item_cap` items of a bucket at most; an item that so many others beat whatever was taken before can never be chosen, and goes
+before anything is gathered, in each task and again where the tasks' rows meet. The plan is that of the whole bucket. The fair round robin over
 all buckets shares the counts of items used, which makes it sequential by definition; it is offered for plans of bounded size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sagaframe.session import prepare
 
@@ -31,7 +34,6 @@ class BatchRules:
     repeat_chapter: float = 0.15
     capacity: float = 0.22
     pressure: float = 0.2
-    most_items: int = 20_000
 
 
 def marginal(item: dict, axes: set, chapters: set, tokens: int, used: int, rules: BatchRules) -> float:
@@ -109,28 +111,68 @@ def plan_round_robin(items: dict[str, list[dict]], rules: BatchRules, most: int)
     return out
 
 
-_SCHEMA = "bucket_id string, shard long, batch long, place long, item long, tokens long, score double"
+_SCHEMA = "bucket_id string, batch long, place long, item long, tokens long, score double"
+#: Rows that are compared with one another at once.
+COMPARED = 2048
 
 
-def plan_batches(candidates: DataFrame, rules: BatchRules) -> DataFrame:
-    """candidates: bucket_id, item, kind, chapter, tokens, confidence, evidence, axes. Buckets are planned on their own."""
+def unbeaten(tokens: np.ndarray, worth: np.ndarray, item: np.ndarray, most: int) -> np.ndarray:
+    """Which rows fewer than `most` others beat: no more tokens, no less worth, a smaller item (the order of ties)."""
+    beats = (tokens[:, None] <= tokens) & (worth[:, None] >= worth) & (item[:, None] < item)
+    return beats.sum(axis=0) < most
+
+
+def _candidates(rules: BatchRules, fields: list[str]):
+    """Rows sorted by what marks items of one sort (bucket, kind, chapter, axes): those that may be chosen, in bounded memory."""
+    most = rules.batches * rules.item_cap
+
+    def reduced(rows: pd.DataFrame) -> pd.DataFrame:
+        worth = (rows["confidence"] + rules.evidence * rows["evidence"]).to_numpy()
+        return rows[unbeaten(rows["tokens"].to_numpy(), worth, rows["item"].to_numpy(), most)]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sort, held, fresh = None, None, 0
+        for frame in frames:
+            for key, rows in frame.groupby("__sort", sort=False):
+                if key == sort:
+                    held, fresh = pd.concat([held, rows]), fresh + len(rows)
+                else:
+                    if held is not None:
+                        yield reduced(held)[fields]
+                    sort, held, fresh = key, rows, len(rows)
+                if fresh >= COMPARED:
+                    held, fresh = reduced(held), 0
+        if held is not None:
+            yield reduced(held)[fields]
+
+    return run
+
+
+def may_be_chosen(candidates: DataFrame, rules: BatchRules) -> DataFrame:
+    """The candidates without those that no plan can reach; the plan of a bucket is the same with them."""
     prepare(candidates.sparkSession)
-    w = Window.partitionBy("bucket_id", "salt").orderBy(F.col("confidence").desc(), "chapter", "item")
-    ready = candidates.filter(F.col("confidence") >= rules.least_confidence)
-    # A bucket above the bound is dealt by a hash of its items, so no bucket is sorted or planned in one task.
-    sizes = ready.groupBy("bucket_id").agg(F.ceil(F.count(F.lit(1)) / rules.most_items).alias("salts"))
-    sharded = ready.join(sizes, "bucket_id").withColumn("salt", F.pmod(F.xxhash64("item"), F.col("salts"))).withColumn("shard", F.col("salt").cast("long")).withColumn("rank", F.row_number().over(w))
+    fields = candidates.columns
+    sort = F.xxhash64("bucket_id", "kind", "chapter", F.array_sort("axes"))
+    schema = StructType([*candidates.schema.fields, StructField("__sort", LongType())])
+    once = _candidates(rules, [*fields, "__sort"])
+    near = candidates.withColumn("__sort", sort).sortWithinPartitions("__sort").mapInPandas(once, schema)
+    return near.repartition("__sort").sortWithinPartitions("__sort").mapInPandas(once, schema).drop("__sort")
+
+
+def plan_batches(candidates: DataFrame, rules: BatchRules) -> DataFrame:
+    """candidates: bucket_id, item, kind, chapter, tokens, confidence, evidence, axes. Buckets are planned on their own, each as a whole."""
+    ready = may_be_chosen(candidates.filter(F.col("confidence") >= rules.least_confidence), rules)
 
     def plan(pdf: pd.DataFrame) -> pd.DataFrame:
         items = [r | {"axes": list(r["axes"])} for r in pdf.to_dict("records")]
-        rows = [(pdf["bucket_id"].iloc[0], int(pdf["shard"].iloc[0]), b, i, x["item"], x["tokens"], x["score"]) for b, i, x in plan_bucket(items, rules)]
-        return pd.DataFrame(rows, columns=["bucket_id", "shard", "batch", "place", "item", "tokens", "score"])
+        rows = [(pdf["bucket_id"].iloc[0], b, i, x["item"], x["tokens"], x["score"]) for b, i, x in plan_bucket(items, rules)]
+        return pd.DataFrame(rows, columns=["bucket_id", "batch", "place", "item", "tokens", "score"])
 
-    return sharded.drop("salts", "salt", "rank").groupBy("bucket_id", "shard").applyInPandas(plan, _SCHEMA)
+    return ready.groupBy("bucket_id").applyInPandas(plan, _SCHEMA)
 
 
 def batch_summary(plan: DataFrame) -> DataFrame:
-    return plan.groupBy("bucket_id", "shard", "batch").agg(F.count(F.lit(1)).alias("items"), F.sum("tokens").alias("tokens"), F.round(F.avg("score"), 4).alias("score"))
+    return plan.groupBy("bucket_id", "batch").agg(F.count(F.lit(1)).alias("items"), F.sum("tokens").alias("tokens"), F.round(F.avg("score"), 4).alias("score"))
 
 
 def unbatched(items: DataFrame, plan: DataFrame, item: str) -> DataFrame:

@@ -10,12 +10,12 @@ from pyspark.sql.window import Window
 from sagaframe.session import prepare
 
 
-def layer_profiles(evidence: DataFrame, chapter: str, layer: str, weight: str) -> DataFrame:
+def layer_profiles(evidence: DataFrame, chapter: list[str], layer: str, weight: str) -> DataFrame:
     """The two strongest layers of a chapter by summed weight (ties by name)."""
-    sums = evidence.groupBy(chapter, layer).agg(F.round(F.sum(weight), 4).alias("score"))
-    w = Window.partitionBy(chapter).orderBy(F.col("score").desc(), layer)
+    sums = evidence.groupBy(*chapter, layer).agg(F.round(F.sum(weight), 4).alias("score"))
+    w = Window.partitionBy(*chapter).orderBy(F.col("score").desc(), layer)
     top = sums.withColumn("r", F.row_number().over(w)).filter("r <= 2")
-    return top.groupBy(chapter).agg(F.max(F.when(F.col("r") == 1, F.col(layer))).alias("primary_layer"), F.max(F.when(F.col("r") == 1, F.col("score"))).alias("primary_score"), F.max(F.when(F.col("r") == 2, F.col(layer))).alias("secondary_layer"))
+    return top.groupBy(*chapter).agg(F.max(F.when(F.col("r") == 1, F.col(layer))).alias("primary_layer"), F.max(F.when(F.col("r") == 1, F.col("score"))).alias("primary_score"), F.max(F.when(F.col("r") == 2, F.col(layer))).alias("secondary_layer"))
 
 
 def window_profiles(evidence: DataFrame, group: str, chapter: str, layer: str, weight: str, size: int, stride: int, least: float) -> DataFrame:

@@ -48,13 +48,13 @@ coalesce(string_agg(CASE WHEN contains(text, ',') THEN role || '?' END, ';' ORDE
 
 
 def plot_nodes(spark, d):
-    events = read_table(spark, d, "events").select(F.col("user_id").alias("conv_id"), F.col("event_type").alias("participant"), F.dayofmonth("ts").cast("string").alias("place")).filter("place < '05'")
+    events = read_table(spark, d, "events").select(F.col("user_id").alias("conv_id"), F.col("event_type").alias("participant"), F.dayofmonth("ts").cast("string").alias("place"))
     p = canon.plot_nodes(_chapters(spark, d), events, "conv_id")
     return p.select("conv_id", "node_id", "scene_count", F.col("n_events").cast("long").alias("n_events"), F.array_join("participants", ",").alias("participants"), F.array_join("places", ",").alias("places"), "relevance")
 
 
 SQL_PLOT = f"""WITH c AS (SELECT conv_id, count(*) AS scene_count, count(CASE WHEN contains(text, ',') THEN 1 END) AS q FROM conversations GROUP BY 1),
-e AS (SELECT user_id AS conv_id, count(*) AS n, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS participants, count(DISTINCT event_type) AS np, string_agg(DISTINCT day(ts)::VARCHAR, ',' ORDER BY day(ts)::VARCHAR) AS places FROM events WHERE day(ts)::VARCHAR < '05' GROUP BY 1)
+e AS (SELECT user_id AS conv_id, count(*) AS n, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS participants, count(DISTINCT event_type) AS np, string_agg(DISTINCT day(ts)::VARCHAR, ',' ORDER BY day(ts)::VARCHAR) AS places FROM events GROUP BY 1)
 SELECT conv_id, {_id('plot', 'conv_id::VARCHAR')} AS node_id, scene_count, coalesce(n, 0) AS n_events, coalesce(participants, '') AS participants, coalesce(places, '') AS places,
 CASE WHEN least(coalesce(n, 0), 2) + (CASE WHEN coalesce(np, 0) >= 2 THEN 1 ELSE 0 END) + least(q, 2) >= 4 THEN 'high' WHEN least(coalesce(n, 0), 2) + (CASE WHEN coalesce(np, 0) >= 2 THEN 1 ELSE 0 END) + least(q, 2) >= 2 THEN 'medium' ELSE 'low' END AS relevance
 FROM c LEFT JOIN e USING (conv_id)"""

@@ -138,11 +138,11 @@ def bucket_membership(spark, d):
     return _members(spark, d)
 
 
-_STAGES = "count(*) AS items, count_if(value >= 10)::BIGINT AS routed, count_if(value >= 20)::BIGINT AS batched, count_if(value >= 30)::BIGINT AS reduced FROM (SELECT event_type, day(ts)::BIGINT AS day, value FROM events WHERE day(ts) <= 5)"
+_STAGES = "count(*) AS items, count_if(value >= 10)::BIGINT AS routed, count_if(value >= 20)::BIGINT AS batched, count_if(value >= 30)::BIGINT AS reduced FROM (SELECT event_type, day(ts)::BIGINT AS day, value FROM events)"
 
 
 def _events(spark, d):
-    e = read_table(spark, d, "events").select("event_type", F.dayofmonth("ts").cast("long").alias("day"), "value").filter("day <= 5")
+    e = read_table(spark, d, "events").select("event_type", F.dayofmonth("ts").cast("long").alias("day"), "value")
     return e, {"routed": F.col("value") >= 10, "batched": F.col("value") >= 20, "reduced": F.col("value") >= 30}
 
 
@@ -224,11 +224,11 @@ def evidence_trim(spark, d):
     return merging.select_evidence(read_table(spark, d, "part").select("p_name", "p_brand", "p_partkey"), "p_name", "p_brand", "p_partkey", ["Brand#1", "Brand#2", "Brand#3"])
 
 
-@query("""SELECT s.vec_id AS slot_id, arg_max(r.vec_id, (r.score, -r.vec_id)) AS rule_id, max(r.score) AS score, max(r.score) >= 0.35 AS covered FROM (SELECT vec_id FROM embeddings WHERE vec_id < 30) s
-JOIN (SELECT a.vec_id AS s_id, b.vec_id, round(greatest(0, least(1, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 4) AS score FROM embeddings a, embeddings b WHERE a.vec_id < 30 AND b.vec_id >= 30) r ON r.s_id = s.vec_id GROUP BY 1""")
+@query("""SELECT s.vec_id AS slot_id, arg_max(r.vec_id, (r.score, -r.vec_id)) AS rule_id, max(r.score) AS score, max(r.score) >= 0.35 AS covered FROM (SELECT vec_id FROM embeddings WHERE vec_id % 20 = 0) s
+JOIN (SELECT a.vec_id AS s_id, b.vec_id, round(greatest(0, least(1, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 4) AS score FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0 AND b.vec_id % 20 <> 0) r ON r.s_id = s.vec_id GROUP BY 1""")
 def slot_coverage(spark, d):
     e = read_table(spark, d, "embeddings")
-    return merging.slot_coverage(e.filter("vec_id < 30"), e.filter("vec_id >= 30"), "vec_id", "vec_id", "embedding", 0.35)
+    return merging.slot_coverage(e.filter("vec_id % 20 = 0"), e.filter("vec_id % 20 <> 0"), "vec_id", "vec_id", "embedding", 0.35)
 
 
 @query()
@@ -314,9 +314,12 @@ def judge_summary(spark, d):
     return evaluation.judge_summary(_judged(spark, d), "doc_id", "dimension", "score", "status")
 
 
-@query(f"SELECT status, {', '.join(f'round(avg(score) FILTER (dimension = $${s}$$), 4) AS {s}' for s in ('src0', 'src1', 'src2'))} FROM {SQL_JUDGED} WHERE dimension IN ('src0', 'src1', 'src2') GROUP BY 1")
+_DIMENSIONS = tuple(f"src{i}" for i in range(20))
+
+
+@query(f"SELECT status, {', '.join(f'round(avg(score) FILTER (dimension = $${s}$$), 4) AS {s}' for s in _DIMENSIONS)} FROM {SQL_JUDGED} GROUP BY 1")
 def judge_pivot(spark, d):
-    return evaluation.judge_pivot(_judged(spark, d).filter("dimension in ('src0', 'src1', 'src2')"), "status", "dimension", "score", ["src0", "src1", "src2"])
+    return evaluation.judge_pivot(_judged(spark, d), "status", "dimension", "score", list(_DIMENSIONS))
 
 
 def _compared(spark, d):
@@ -396,10 +399,10 @@ def _evidence(spark, d):
 SQL_EVIDENCE = "(SELECT user_id % 10 AS book, floor((epoch(date_trunc('second', ts)) - 1704067200) / 14400)::BIGINT AS chapter, event_type AS layer, value AS weight FROM events)"
 
 
-@query(f"""WITH s AS (SELECT book, chapter, layer, round(sum(weight), 4) AS score FROM {SQL_EVIDENCE} WHERE book = 0 GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY chapter ORDER BY score DESC, layer) AS r FROM s)
-SELECT chapter, max(layer) FILTER (r = 1) AS primary_layer, max(score) FILTER (r = 1) AS primary_score, max(layer) FILTER (r = 2) AS secondary_layer FROM r WHERE r <= 2 GROUP BY chapter""")
+@query(f"""WITH s AS (SELECT book, chapter, layer, round(sum(weight), 4) AS score FROM {SQL_EVIDENCE} GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY book, chapter ORDER BY score DESC, layer) AS r FROM s)
+SELECT book, chapter, max(layer) FILTER (r = 1) AS primary_layer, max(score) FILTER (r = 1) AS primary_score, max(layer) FILTER (r = 2) AS secondary_layer FROM r WHERE r <= 2 GROUP BY book, chapter""")
 def chapter_profiles(spark, d):
-    return segments.layer_profiles(_evidence(spark, d).filter("book = 0"), "chapter", "layer", "weight")
+    return segments.layer_profiles(_evidence(spark, d), ["book", "chapter"], "layer", "weight")
 
 
 SQL_WINDOWS = f"""WITH w AS (SELECT book, unnest(range((greatest(0, ceil((chapter - 23) / 4)))::BIGINT, chapter // 4 + 1)) * 4 AS start, layer, weight FROM {SQL_EVIDENCE}), s AS (SELECT book, start, layer, round(sum(weight), 4) AS score FROM w GROUP BY ALL),

@@ -143,6 +143,27 @@ def test_packing_keeps_limits(spark):
     assert len({(b, n) for b, n, _, _ in robin}) == 6
 
 
+def test_plan_is_that_of_the_whole_bucket(spark):
+    random.seed(6)
+    rules = packing.BatchRules(token_budget=600, item_cap=4, batches=3)
+    items = [{"bucket_id": "x", "item": i, "kind": random.choice("kl"), "chapter": random.choice("123"), "tokens": random.randint(20, 300), "confidence": round(random.uniform(0.2, 1), 2), "evidence": 0.5, "axes": random.choice([["a"], ["b", "c"]])} for i in range(6000)]
+    rows = spark.createDataFrame([tuple(x.values()) for x in items], "bucket_id string, item long, kind string, chapter string, tokens long, confidence double, evidence double, axes array<string>").repartition(7)
+    assert packing.may_be_chosen(rows, rules).count() < len(items) / 2
+    want = [(b, i, x["item"]) for b, i, x in packing.plan_bucket(items, rules)]
+    assert [(r.batch, r.place, r.item) for r in packing.plan_batches(rows, rules).orderBy("batch", "place").collect()] == want
+    assert packing.plan_batches(rows.limit(0), rules).count() == 0
+
+
+def test_queries_beyond_a_block_meet_all_items(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(similarity, "ITEM_BLOCK", 11)
+    random.seed(7)
+    rows = spark.createDataFrame([(i, [random.random() - 0.5 for _ in range(4)]) for i in range(60)], "vec_id long, embedding array<double>")
+    blocked = similarity.cosine_topk(rows, rows, "vec_id", "embedding", 3)
+    monkeypatch.undo()
+    assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, similarity.cosine_topk(rows, rows, "vec_id", "embedding", 3).collect()))
+
+
 def test_boundaries_follow_the_last_accepted_layer(spark):
     layers = ["a", "a", "b", "a", "b", "b", "b", "a", "a"]
     rows = spark.createDataFrame([("g", i * 4, x) for i, x in enumerate(layers)], "g string, start long, dominant string")
