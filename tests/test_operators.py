@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sagaframe.functions import text as X
-from sagaframe.operators import canon, chunking, cleaning, evaluation, graph, merging, packing, providers, sampling, segments, signals, similarity
+from sagaframe.operators import canon, chunking, cleaning, evaluation, graph, merging, packing, providers, sampling, scoping, segments, signals, similarity
 from sagaframe.sources import files
 
 
@@ -216,3 +216,18 @@ def test_empty_tables(spark):
     assert chunking.scenes(docs, "doc_id", "text").count() == 0
     with pytest.raises(canon.EmptyScope):
         canon.require_rows(docs, "chapters")
+
+
+def test_scopes_of_small_tables(spark):
+    cases = spark.createDataFrame([("a", ["x"], [], ["r"]), ("b", ["y"], [], []), ("c", [], [], ["q"]), ("d", None, ["t"], None), ("e", ["z"], [], []), ("f", ["x"], ["t"], ["r"])], "case_id string, buckets array<string>, batches array<string>, expected array<string>")
+    runs = spark.createDataFrame([("x", ["s"], ["r"], False), ("y", ["t"], None, True)], "bucket_id string, batch_ids array<string>, refs array<string>, sparse boolean")
+    got = {r.case_id: r.reason for r in scoping.case_scopes(cases, runs, ["y"], []).collect()}
+    assert got == {"a": "applicable", "b": "target_scope_failed", "c": "expected_refs_out_of_scope", "d": "target_scope_has_no_successful_local_reduce", "e": "target_scope_missing_from_run", "f": "target_scope_missing_from_run"}
+    assert {r.reason for r in scoping.case_scopes(cases, runs.limit(0), [], []).filter("case_id = 'a'").collect()} == {"target_scope_missing_from_run"}
+    entries = spark.createDataFrame([(1, "x", ["r", " "]), (2, "y", ["q"]), (3, "x", []), (4, "x", ["q", "r"])], "entry_id long, bucket_id string, refs array<string>")
+    gone = scoping.retrieval_pool(entries, {"p": ["x"], "any": []}, entries.filter("entry_id = 9").select("entry_id"), spark.createDataFrame([("q",)], "ref string"))
+    assert sorted((r.path, r.entry_id) for r in gone.collect()) == [("any", 1), ("any", 4), ("p", 1), ("p", 4)]
+    one = spark.createDataFrame([(3,)], "chapter long")
+    none = spark.createDataFrame([], "ord long, text string")
+    assert scoping.scope_community(one, "chapter", {"plot spine": (none, 4, " ; ")}).first().summary == "chapter 3"
+    assert scoping.scope_community(one.limit(0), "chapter", {"plot spine": (none, 4, " ; ")}).first().summary == ""
