@@ -115,7 +115,7 @@ def axis_scores(spark, d):
 SELECT doc_id, axis_id, score, rank::INTEGER AS rank, CASE WHEN score >= 0.22 OR (best < 0.22 AND rank = 1) THEN 'primary' ELSE 'secondary' END AS role FROM r
 WHERE rank <= 4 AND (score >= 0.22 OR (best < 0.22 AND rank = 1 AND score >= 0.12) OR (rank > 1 AND score >= 0.18))""")
 def axis_select(spark, d):
-    return routing.select_axes(_scores(spark, d), "doc_id", RULES)
+    return routing.select_axes(read_table(spark, d, "documents"), "doc_id", "text", _rules())
 
 
 def _bucket_sql(b):
@@ -129,13 +129,9 @@ s AS ({' UNION ALL '.join(map(_bucket_sql, BUCKETS))}), r AS (SELECT *, row_numb
 SELECT doc_id, CASE WHEN best < 0.18 THEN 'unassigned' ELSE bucket_id END AS bucket_id, confidence, rank::INTEGER AS rank FROM r WHERE CASE WHEN best < 0.18 THEN rank = 1 ELSE confidence >= 0.18 AND rank <= 4 END"""
 
 
-def _members(spark, d):
-    return routing.bucket_memberships(read_table(spark, d, "documents"), _scores(spark, d), "doc_id", "text", _rules())
-
-
 @query(SQL_BUCKETS)
 def bucket_membership(spark, d):
-    return _members(spark, d)
+    return routing.bucket_memberships(read_table(spark, d, "documents"), "doc_id", "text", _rules())
 
 
 _STAGES = "count(*) AS items, count_if(value >= 10)::BIGINT AS routed, count_if(value >= 20)::BIGINT AS batched, count_if(value >= 30)::BIGINT AS reduced FROM (SELECT event_type, day(ts)::BIGINT AS day, value FROM events)"
@@ -159,11 +155,11 @@ def coverage_rollup(spark, d):
 
 
 def _plan(spark, d):
-    docs = read_table(spark, d, "documents")
-    axes = axis_select(spark, d).groupBy("doc_id").agg(F.array_sort(F.collect_list("axis_id")).alias("axes"))
-    c = _members(spark, d).filter("rank = 1").join(docs, "doc_id").join(axes, "doc_id")
-    items = c.select("bucket_id", F.col("doc_id").alias("item"), F.col("lang").alias("kind"), F.col("source").alias("chapter"), X.token_estimate(F.col("text")).alias("tokens"), "confidence", X.clip_ratio(F.col("n_chars"), 5000).alias("evidence"), "axes")
-    return packing.plan_batches(items, packing.BatchRules())
+    docs = routing.routed(read_table(spark, d, "documents"), "text", _rules())
+    best = F.col("buckets")[0]
+    route = F.struct(best["bucket_id"].alias("bucket_id"), best["confidence"].alias("confidence"), F.array_sort(F.col("axes.axis_id")).alias("axes"))
+    items = docs.select(F.col("doc_id").alias("item"), F.col("lang").alias("kind"), F.col("source").alias("chapter"), X.token_estimate(F.col("text")).alias("tokens"), X.clip_ratio(F.col("n_chars"), 5000).alias("evidence"), F.inline_outer(F.array(route)))
+    return packing.plan_batches(items.filter(F.size("axes") > 0), packing.BatchRules())
 
 
 @query()

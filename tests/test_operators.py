@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sagaframe.functions import text as X
-from sagaframe.operators import canon, chunking, cleaning, evaluation, graph, merging, packing, providers, sampling, scoping, segments, signals, similarity
+from sagaframe.operators import canon, chunking, cleaning, evaluation, graph, merging, packing, providers, routing, sampling, scoping, segments, signals, similarity
 from sagaframe.sources import files
 
 
@@ -231,3 +231,13 @@ def test_scopes_of_small_tables(spark):
     none = spark.createDataFrame([], "ord long, text string")
     assert scoping.scope_community(one, "chapter", {"plot spine": (none, 4, " ; ")}).first().summary == "chapter 3"
     assert scoping.scope_community(one.limit(0), "chapter", {"plot spine": (none, 4, " ; ")}).first().summary == ""
+
+
+def test_routes_of_null_texts_and_repeated_ids(spark):
+    rules = routing.RoutingRules((routing.Axis("a", ("x", "y"), "f"), routing.Axis("b", ("x", "y"), "f")), (routing.Bucket("n", ("a",), ("x",)), routing.Bucket("m", ("b",), ("x",))), features={"f": F.lit(0.0)})
+    rows = spark.createDataFrame([(1, "X and y"), (1, "X and y"), (2, None), (3, "")], "i long, text string")
+    axes = [(r.i, r.axis_id, r["rank"], r.role) for r in routing.select_axes(rows, "i", "text", rules).collect()]
+    assert sorted(axes) == [(1, "a", 1, "primary"), (1, "a", 1, "primary"), (1, "b", 2, "primary"), (1, "b", 2, "primary")]
+    got = sorted((r.i, r.bucket_id, r["rank"]) for r in routing.bucket_memberships(rows, "i", "text", rules).collect())
+    assert got == [(1, "m", 1), (1, "m", 1), (1, "n", 2), (1, "n", 2), (2, routing.ORPHAN, 1), (3, routing.ORPHAN, 1)]
+    assert routing.bucket_memberships(rows.limit(0), "i", "text", rules).count() == 0
