@@ -199,10 +199,10 @@ SQL_X_ENTITIES = f"SELECT node_id AS id, title, node_type AS type, coalesce(summ
 
 
 def graphrag_relationships(spark, d):
-    return graph.export_relationships(_edges(spark, d), graph_nodes(spark, d).filter("node_type <> 'priority' or title < '3'"))
+    return graph.export_relationships(_edges(spark, d), graph_nodes(spark, d))
 
 
-SQL_X_REL = f"""WITH n AS (SELECT * FROM ({SQL_NODES}) WHERE node_type <> 'priority' OR title < '3') SELECT edge_id AS id, coalesce(a.title, source_id) AS source, coalesce(b.title, target_id) AS target, relation_label AS description, 1.0::DOUBLE AS weight
+SQL_X_REL = f"""WITH n AS ({SQL_NODES}) SELECT edge_id AS id, coalesce(a.title, source_id) AS source, coalesce(b.title, target_id) AS target, relation_label AS description, 1.0::DOUBLE AS weight
 FROM ({SQL_EDGES}) e LEFT JOIN n a ON a.node_id = source_id LEFT JOIN n b ON b.node_id = target_id"""
 
 

@@ -241,3 +241,11 @@ def test_routes_of_null_texts_and_repeated_ids(spark):
     got = sorted((r.i, r.bucket_id, r["rank"]) for r in routing.bucket_memberships(rows, "i", "text", rules).collect())
     assert got == [(1, "m", 1), (1, "m", 1), (1, "n", 2), (1, "n", 2), (2, routing.ORPHAN, 1), (3, routing.ORPHAN, 1)]
     assert routing.bucket_memberships(rows.limit(0), "i", "text", rules).count() == 0
+
+
+def test_relationships_fall_back_to_ids(spark):
+    edges = spark.createDataFrame([("e1", "a", "b", "knows"), ("e2", "b", "gone", None)], "edge_id string, source_id string, target_id string, relation_label string")
+    nodes = spark.createDataFrame([("a", "Anna"), ("b", "Ben")], "node_id string, title string")
+    got = {r.id: (r.source, r.target, r.weight) for r in graph.export_relationships(edges, nodes).collect()}
+    assert got == {"e1": ("Anna", "Ben", 1.0), "e2": ("Ben", "gone", 1.0)}
+    assert {r.target for r in graph.export_relationships(edges, nodes.limit(0)).collect()} == {"b", "gone"}
