@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sagaframe.functions.text import text_key
-from sagaframe.operators.similarity import against_all, cosine
+from sagaframe.operators.similarity import nearest
 from sagaframe.session import prepare
 
 
@@ -107,10 +107,9 @@ def section_gaps(targets: DataFrame, rules: DataFrame, path: str) -> DataFrame:
 
 
 def slot_coverage(slots: DataFrame, rules: DataFrame, slot: str, rule: str, vec: str, threshold: float) -> DataFrame:
-    """The best rule of each slot and whether it covers it: all pairs in blocks, of which the best is an aggregate."""
-    s = slots.select(F.col(slot).alias("slot_id"), F.col(vec).alias("slot_vec"))
-    pairs = against_all(s, rules, "slot_id", rule).select("slot_id", F.col(rule).alias("rule_id"), F.round(cosine(F.col("slot_vec"), F.col(vec)), 4).alias("score"))
-    best = pairs.groupBy("slot_id").agg(F.max(F.struct("score", (-F.col("rule_id")).alias("neg"))).alias("b"))
+    """The best rule of each slot and whether it covers it: all pairs in blocks, of whose best the best is an aggregate."""
+    found = nearest(slots.select(F.col(slot).alias("q_id"), F.col(vec).alias("q_vec")), rules.select(F.col(rule).alias("id"), F.col(vec).alias("vec")), 1, False)
+    best = found.groupBy(F.col("q_id").alias("slot_id")).agg(F.max(F.struct("score", (-F.col("id")).alias("neg"))).alias("b"))
     return best.select("slot_id", (-F.col("b.neg")).alias("rule_id"), F.col("b.score").alias("score"), (F.col("b.score") >= threshold).alias("covered"))
 
 

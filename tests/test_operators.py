@@ -312,3 +312,16 @@ def test_nearest_are_those_of_the_cosine(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
     assert similarity.cosine_topk(vectors, vectors.limit(0), "vec_id", "embedding", 4).count() == 0 == similarity.cosine_topk(vectors.limit(0), vectors, "vec_id", "embedding", 4).count()
+
+
+def test_slots_take_the_best_rule_of_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(similarity, "ITEM_BLOCK", 7)
+    draw = random.Random(9)
+    rows = spark.createDataFrame([(i, [draw.choice([-1.0, 0.0, 1.0, 2.0]) for _ in range(3)]) for i in range(60)] + [(60, None), (80, [0.0, 0.0, 0.0])], "vec_id long, embedding array<double>")
+    slots, rules = rows.filter("vec_id % 20 = 0"), rows.filter("vec_id % 20 <> 0")
+    pairs = slots.select(F.col("vec_id").alias("s"), F.col("embedding").alias("q")).crossJoin(rules.select(F.col("vec_id").alias("r"), F.col("embedding").alias("v"))).select("s", "r", F.round(similarity.cosine(F.col("q"), F.col("v")), 4).alias("x"))
+    want = [(r.s, r.r, r.x, r.x >= 0.35) for r in similarity.ranked(pairs, ["s"], [F.col("x").desc(), F.col("r")], 1).collect()]
+    found = merging.slot_coverage(slots, rules, "vec_id", "vec_id", "embedding", 0.35)
+    assert sorted(map(tuple, found.collect())) == sorted(want) and len(want) == 5
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
