@@ -15,7 +15,7 @@ Defined results: null and empty texts, or texts without words, have fingerprint
 shingle give one shingle of all words; repeated rows and ties share a component; an empty table gives no rows; extra columns are
 ignored; rows with a null id are documents like any other, and null counts as larger than every other id.
 
-Similarity. `similar_documents` uses no fingerprints: it links the texts whose sets of word shingles have a Jaccard similarity of
+Similarity. `similar_documents` takes a radius and links by fingerprints and BK-trees as above first; without one it uses no fingerprints. It links the texts whose sets of word shingles have a Jaccard similarity of
 `similarity` or more, all of them and no others (shingles are told apart by 64-bit hashes). Shingles have one global order, those that
 are frequent in some texts last and the others by hash; any order gives the same links, this one keeps shards small. Two such
 sets share one of their first n - ceil(similarity * n) + 1 shingles, so each of these is a shard key (prefix filter). In each shard the
@@ -298,15 +298,16 @@ def _all_shingles(shingle: int):
     return run
 
 
-def _heads(shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarray):
-    """Rows (id, key, text) as (id, key, digest, size, bitmap, first shingles in the global order)."""
+def _heads(shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarray, marked: bool):
+    """Rows (id, key, text) as (id, key, digest, size, bitmap, first shingles in the global order, fingerprint if `marked`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ds, ns, bits, heads = [], [], [], []
+            ds, ns, bits, heads, w0 = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingle_set(text, shingle)
                 n = len(s)
+                w0 += _longs(fingerprint(text), 64) if marked else [None]
                 ds.append(_digest(s))
                 ns.append(n)
                 bits.append(parity(s))
@@ -314,8 +315,8 @@ def _heads(shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarr
                     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                     s = s[np.argsort(np.where(frequent[at] == s, rank[at], 0), kind="stable")]
                 heads.append(s[: n - ceil(similarity * n - 1e-9) + 1].view(np.int64))
-            cols = [pa.array(ds, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary()), pa.array(heads, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["id", "key", "d", "n", "bits", "heads"])
+            cols = [pa.array(ds, pa.int64()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary()), pa.array(heads, pa.list_(pa.int64())), pa.array(w0, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["id", "key", "d", "n", "bits", "heads", "w0"])
 
     return run
 
@@ -419,9 +420,14 @@ def row_key(id_col, text_col):
     return F.xxhash64(F.coalesce(id_col.cast("long"), F.lit(NO_ID)), text_col.cast("string"))
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int | None = None) -> DataFrame:
     """id, component, key, first: a row's id, the smallest id reachable over pairs of texts whose shingle sets have at least the given
-    Jaccard similarity, the row's `row_key`, and that of the component's first row (smallest id, then key)."""
+    Jaccard similarity, the row's `row_key`, and that of the component's first row (smallest id, then key).
+
+    With a radius the fingerprints of `near_duplicates` come first: texts that their BK-trees link at `radius` or fewer bits are linked,
+    and the sets are compared where these links left texts in different components."""
+    if radius is not None and not 0 <= radius <= 3:
+        raise ValueError("shards of agreeing blocks are small for a radius of 3 at most")
     prepare(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
     some = rows.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // ORDER_TEXTS))) == 0)
@@ -430,7 +436,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     frequent = np.array(last, np.int64).view(np.uint64)
     by_hash = np.argsort(frequent)
     rows = rows.select("id", row_key(F.col("id"), F.col("text")).alias("key"), "text")
-    found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent[by_hash], by_hash + 1), "id long, key long, d long, n long, bits binary, heads array<long>"))
+    found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent[by_hash], by_hash + 1, radius is not None), "id long, key long, d long, n long, bits binary, heads array<long>, w0 long"))
     nodes = found.groupBy("d").agg(F.min(F.struct("id", "key")).alias("row"), F.first("n").alias("n"), F.first("heads").alias("heads"))
     bits = found.groupBy("d").agg(F.first("bits").alias("bits"))
     order = Window.partitionBy("h").orderBy(F.xxhash64("d", "h"), "d")
@@ -461,6 +467,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     may = F.least(F.col("n") - F.col("p"), F.col("c.n") - F.col("c.p")) >= least(F.col("n"), F.col("c.n"))
     chains = verified(shared.filter(F.col("c").isNotNull() & may).select(F.least("c.d", "d").alias("a"), F.greatest("c.d", "d").alias("b")))
+    if radius is not None:
+        # One row a fingerprint goes into the trees; what shares one is linked to its smallest digest. Equal sets may differ in fingerprints.
+        marked = cut(found.select("w0", "d").distinct())
+        nearest = marked.groupBy("w0").agg(F.min("d").alias("id"))
+        alike = marked.join(nearest, "w0").select(F.greatest("d", "id").alias("a"), F.least("d", "id").alias("b")).filter("a <> b")
+        chains = cut(chains.unionByName(alike).unionByName(links(nearest, radius, 64, exact_masks(radius, 64), True)).distinct())
     joined = components(chains).withColumnRenamed("a", "d")
     placed = shared.join(joined, "d", "left").select("h", "d", "n", F.col("p").cast("long").alias("p"), F.coalesce("root", "d").alias("r"))
     # Bitmaps travel with members of shards of two components or more alone.

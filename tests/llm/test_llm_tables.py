@@ -282,6 +282,28 @@ def test_rows_without_an_id_of_their_own_stay(spark):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([*rows[:5], (3, "")], key=str)
 
 
+def test_near_duplicates_of_the_pipeline_are_linked_by_fingerprints(spark):
+    """Texts that op 2 links go to one group though their sets of shingles are unlike; what it leaves apart is linked by the sets."""
+    import random
+
+    import corpus_pipeline as pipeline
+    from sagaframe.llm import simhash
+
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(8)]
+    near = None
+    while near is None:
+        a, b = (" ".join(draw.choices(words, k=5) + ["same"] * 400 + draw.choices(words, k=5)) for _ in range(2))
+        sets = [set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for t in (a, b)]
+        if (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() <= 2 and len(sets[0] & sets[1]) < 0.5 * len(sets[0] | sets[1]):
+            near = a, b
+    long = [f"v{i}" for i in range(300)]
+    alike = " ".join(long), " ".join(f"x{i}" if i % 60 == 30 else w for i, w in enumerate(long))
+    assert (simhash.fingerprint(alike[0]) ^ simhash.fingerprint(alike[1])).bit_count() > 2
+    docs = spark.createDataFrame([(4, near[1]), (2, near[0]), (3, alike[0]), (1, alike[1]), (None, near[0]), (9, "other words")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in pipeline.dedup_documents(spark, docs, "").collect()) == [1, 2, 9]
+
+
 def test_stages_take_empty_and_odd_tables(spark, tmp_path):
     import corpus_pipeline as pipeline
 
