@@ -18,11 +18,14 @@ ignored; rows with a null id are documents like any other, and null counts as la
 Similarity. `similar_documents` takes a radius and links by fingerprints and BK-trees as above first; without one it uses no fingerprints. It links the texts whose sets of word shingles have a Jaccard similarity of
 `similarity` or more, all of them and no others (shingles are told apart by 64-bit hashes). Shingles have one global order, those that
 are frequent in some texts last and the others by hash; any order gives the same links, this one keeps shards small. Two such
-sets share one of their first n - ceil(similarity * n) + 1 shingles, so each of these is a shard key (prefix filter). In each shard the
-members are first compared with the one before them, in an order by hash that is another one in every shard, which joins most of a large
-group of near copies; then all pairs are compared that these links left in different components and whose lengths and places in the
-order still allow the similarity, and so do bitmaps: a set's bitmap says of each of PARITY parts of all hashes whether it holds
-an odd number of them, and two sets differ in at least as many shingles as their bitmaps in bits. What the first shingles leave possible is counted on the whole sets before it links.
+sets share one of their first n - ceil(similarity * n) + 1 shingles, so each of these is a shard key (prefix filter). First shingles
+are most of what is shuffled, so they travel packed, a row for each task and bucket of shards. Shards of up to MAX_PAIRED members give
+all their pairs whose lengths and places in the order still allow the similarity. In larger ones the members are first paired with the
+one before them, in an order by hash that is another one in every shard, which joins most of a large group of near copies; then all
+pairs are compared that these links left in different components. Pairs that fingerprints have joined are not compared. Bitmaps come
+before the sets: a set's bitmap says of each of PARITY parts of all hashes whether it holds an odd number of them, and two sets differ
+in at least as many shingles as their bitmaps in bits, folded or not. What the first shingles leave possible is counted on the whole
+sets before it links.
 """
 
 from __future__ import annotations
@@ -36,9 +39,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from sagaframe.session import cut, prepare, spread
+from sagaframe.session import cut, free, prepare, spread
 
 SEED = 42
 #: Stands for a null id; larger than every other.
@@ -321,6 +323,169 @@ def _heads(shingle: int, similarity: float, frequent: np.ndarray, rank: np.ndarr
     return run
 
 
+#: Bytes of a packed first shingle: key, set, low and high half of the set's size, place.
+PACKED = 5 + 8 + 2 + 2 + 2
+#: First shingles that a task packs at once, and about as many in a bucket at most.
+PACK = 1 << 20
+
+
+def _packed(buckets: int):
+    """Rows (d, n, first shingles) as (bucket, packed): 40 bits of a shingle are its key in its bucket; places above 65,535 count as that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            d, n, h, p = (np.concatenate(x) for x in zip(*held, strict=True))
+            bucket, key = h % np.uint64(buckets), h // np.uint64(buckets) & np.uint64((1 << 40) - 1)
+            order = np.argsort(bucket, kind="stable")
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) > 0]))
+            names, out = bucket[order][starts].astype(np.int64), []
+            for at, end in zip(starts, [*starts[1:], len(order)], strict=True):
+                o = order[at:end]
+                planes = (key[o].view(np.uint8).reshape(-1, 8)[:, :5].copy(), d[o], n[o].astype(np.uint16), (n[o] >> 16).astype(np.uint16), p[o])
+                out.append(b"".join(x.tobytes() for x in planes))
+            for at in range(0, len(out), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(names[at : at + 256]), pa.array(out[at : at + 256], pa.binary())], names=["bucket", "packed"])
+
+        for batch in batches:
+            d, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            lists = batch.column(2)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            places = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            h = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            held.append((np.repeat(d, sizes), np.repeat(n, sizes), h, np.minimum(places, 0xFFFF).astype(np.uint16)))
+            size += len(h)
+            if size >= PACK:
+                yield from flush()
+                held, size = [], 0
+        if size:
+            yield from flush()
+
+    return run
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, ...]:
+    """key, d, n, p of a packed row."""
+    m = len(packed) // PACKED
+    key = np.zeros((m, 8), np.uint8)
+    key[:, :5] = np.frombuffer(packed, np.uint8, 5 * m).reshape(m, 5)
+    low, high, p = (np.frombuffer(packed, np.uint16, m, 13 * m + 2 * m * k).astype(np.int64) for k in range(3))
+    return key.view(np.uint64).ravel(), np.frombuffer(packed, np.int64, m, 5 * m), low | high << 16, p
+
+
+def _allowed(similarity: float, n: np.ndarray, rest: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether sizes and what follows the first common shingle allow the similarity."""
+    least = np.ceil(similarity / (1 + similarity) * (n[i] + n[j]) - 1e-9)
+    return (np.minimum(rest[i], rest[j]) >= least) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
+
+
+def _shards(similarity: float, most: int, buckets: int):
+    """Over rows (bucket, packed) sorted by bucket: (null, a, b, null) for pairs that may have the similarity, and (h, d, null, rest) for members of shards above `most`."""
+
+    def resolve(bucket: int, parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        key, d, n, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(key, kind="stable")
+        again = key[order][1:] == key[order][:-1]
+        order = order[np.concatenate([again, [False]]) | np.concatenate([[False], again])]
+        # Copies of a text are one member; the smallest place allows most.
+        order = order[np.lexsort((p[order], d[order], key[order]))]
+        key, d, n, p = key[order], d[order], n[order], p[order]
+        first = np.concatenate([[True], (key[1:] != key[:-1]) | (d[1:] != d[:-1])])[: len(key)]
+        key, d, n, rest = key[first], d[first], n[first], (n - p)[first]
+        if not len(key):
+            return
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.concatenate([starts, [len(key)]]))
+        size = np.repeat(sizes, sizes)
+        a, b = [], []
+        # left[i]: members of i's shard from i on.
+        left = np.repeat(starts + sizes, sizes) - np.arange(len(key))
+        at = np.flatnonzero(size <= most)
+        for k in range(1, most):
+            at = at[left[at] > k]
+            if not len(at):
+                break
+            i = at[_allowed(similarity, n, rest, at, at + k)]
+            a.append(d[i])
+            b.append(d[i + k])
+        large = np.flatnonzero(size > most)
+        if len(large):
+            mixed = (d[large].view(np.uint64) ^ key[large] * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ mixed >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+            chain = large[np.lexsort((mixed ^ mixed >> np.uint64(29), key[large]))]
+            i, j = chain[:-1], chain[1:]
+            may = (key[i] == key[j]) & _allowed(similarity, n, rest, i, j)
+            a.append(d[i[may]])
+            b.append(d[j[may]])
+        if a:
+            a, b = np.concatenate(a), np.concatenate(b)
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            none = pa.nulls(len(pairs), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), none], names=["h", "a", "b", "rest"])
+        if len(large):
+            h = (key[large] * np.uint64(buckets) + np.uint64(bucket)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(d[large]), pa.nulls(len(large), pa.int64()), pa.array(rest[large])], names=["h", "a", "b", "rest"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+        for batch in batches:
+            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket != held:
+                    if parts:
+                        yield from resolve(held, parts)
+                    held, parts = bucket, []
+                parts.append(_unpacked(packed))
+        if parts:
+            yield from resolve(held, parts)
+
+    return run
+
+
+def folded(bits: bytes, n: int) -> bytes:
+    """A bitmap cut in halves that are laid over each other while it has far more bits than a set of n may differ in."""
+    width, x = PARITY, int.from_bytes(bits, "little")
+    while width > 128 and n <= width * 0.6:
+        width //= 2
+        x = x >> width ^ x & (1 << width) - 1
+    return x.to_bytes(width // 8, "little")
+
+
+def _folded_rows(marks: np.ndarray):
+    """Over rows (d, n, bits): the folded bitmaps of those marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(_marked(marks, batch.column(0)))
+            bits = [folded(x, n) for x, n in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], names=["d", "n", "bits"])
+
+    return run
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    """Bits in which two folded bitmaps differ, the longer one folded as far as the other."""
+    if len(x) < len(y):
+        x, y = y, x
+    width, one = 8 * len(x), int.from_bytes(x, "little")
+    while width > 8 * len(y):
+        width //= 2
+        one = one >> width ^ one & (1 << width) - 1
+    return (one ^ int.from_bytes(y, "little")).bit_count()
+
+
+def _close_bits(similarity: float):
+    """Pairs (a, b) of rows (a, b, sizes of both added, bitmap of a, bitmap of b) whose bitmaps allow the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = (1 - similarity) / (1 + similarity)
+        for batch in batches:
+            n, x, y = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            yield batch.select([0, 1]).filter(pa.array([bits_apart(*v) <= most * m + 1e-9 for m, *v in zip(n, x, y, strict=True)], pa.bool_()))
+
+    return run
+
+
 def _marks(keys: DataFrame) -> np.ndarray:
     """Bits at the places (modulo MARKS) of the long column `key`: a set of bounded size that holds all keys, and others."""
     at = F.pmod("key", F.lit(MARKS))
@@ -374,16 +539,14 @@ def _alike(similarity: float):
 
 
 def _crossing(similarity: float):
-    """Over rows (h, d, n, p, r, bits) sorted by h: pairs of a shard's members of different components r that may have the similarity."""
+    """Over rows (h, d, n, rest, r, bits) sorted by h: pairs of a shard's members of different components r that may have the similarity."""
 
     def pairs(parts: list[tuple[np.ndarray, list[bytes]]]) -> Iterator[pa.RecordBatch]:
-        d, n, p, r = np.concatenate([x for x, _ in parts], axis=1)
+        d, n, rest, r = np.concatenate([x for x, _ in parts], axis=1)
         bits = np.frombuffer(b"".join(b for _, bs in parts for b in bs), np.uint64).reshape(len(d), -1)
         for i in range(len(d) - 1):
-            least = np.ceil(similarity / (1 + similarity) * (n[i] + n[i + 1 :]) - 1e-9)
-            may = (r[i] != r[i + 1 :]) & (np.minimum(n[i] - p[i], n[i + 1 :] - p[i + 1 :]) >= least)
-            may &= np.minimum(n[i], n[i + 1 :]) >= similarity * np.maximum(n[i], n[i + 1 :]) - 1e-9
-            at = i + 1 + np.flatnonzero(may)
+            at = i + 1 + np.flatnonzero(r[i] != r[i + 1 :])
+            at = at[_allowed(similarity, n, rest, i, at)]
             if len(at):
                 differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
                 at = at[differ <= (1 - similarity) / (1 + similarity) * (n[i] + n[at]) + 1e-9]
@@ -409,41 +572,59 @@ def _crossing(similarity: float):
     return run
 
 
-#: Texts (about) and shingles that the global order of shingles looks at; they set the size of shards, not the links.
-ORDER_TEXTS, ORDER_SHINGLES = 2000, 100_000
+#: Texts (about; one in ORDER_SHARE of larger tables) and shingles that the global order looks at; they set the size of shards, not the links.
+ORDER_TEXTS, ORDER_SHARE, ORDER_SHINGLES = 2000, 25, 300_000
+#: Members of a shard that gives all its pairs at once.
+MAX_PAIRED = 64
 #: Places of a set of keys that is sent to all workers.
 MARKS = 1 << 24
 
 
+def _order(shingles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, ascending, and their ranks from 1 by frequency: at most ORDER_SHINGLES, of those in more than two texts."""
+    counted = cut(shingles.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 2"))
+    least, room = 3, ORDER_SHINGLES
+    for r in counted.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).collect():
+        room -= r.k
+        if room < 0:
+            least = r.n + 1
+            break
+    held = counted.filter(F.col("n") >= least).toArrow()
+    h, n = (held.column(c).to_numpy().astype(np.int64) for c in ("h", "n"))
+    by_hash = np.argsort(h.view(np.uint64))
+    h, n = h.view(np.uint64)[by_hash], n[by_hash]
+    rank = np.empty(len(h), np.int64)
+    rank[np.lexsort((h, n))] = np.arange(1, len(h) + 1)
+    return h, rank
+
+
 def row_key(id_col, text_col):
     """Names a row by its id and text; rows equal in both share it."""
     return F.xxhash64(F.coalesce(id_col.cast("long"), F.lit(NO_ID)), text_col.cast("string"))
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int | None = None) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int | None = None, most: int = MAX_PAIRED) -> DataFrame:
     """id, component, key, first: a row's id, the smallest id reachable over pairs of texts whose shingle sets have at least the given
     Jaccard similarity, the row's `row_key`, and that of the component's first row (smallest id, then key).
 
     With a radius the fingerprints of `near_duplicates` come first: texts that their BK-trees link at `radius` or fewer bits are linked,
-    and the sets are compared where these links left texts in different components."""
+    and the sets are compared where these links left texts in different components. Shards of up to `most` members give all their pairs at once."""
     if radius is not None and not 0 <= radius <= 3:
         raise ValueError("shards of agreeing blocks are small for a radius of 3 at most")
     prepare(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    some = rows.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // ORDER_TEXTS))) == 0)
-    counted = some.mapInArrow(_all_shingles(shingle), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
-    last = [r.h for r in counted.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).collect()][::-1]
-    frequent = np.array(last, np.int64).view(np.uint64)
-    by_hash = np.argsort(frequent)
+    n_rows = docs.count()
+    some = rows.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(max(1, min(ORDER_SHARE, n_rows // ORDER_TEXTS)))) == 0)
+    frequent, rank = _order(some.mapInArrow(_all_shingles(shingle), "h long"))
     rows = rows.select("id", row_key(F.col("id"), F.col("text")).alias("key"), "text")
-    found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent[by_hash], by_hash + 1, radius is not None), "id long, key long, d long, n long, bits binary, heads array<long>, w0 long"))
-    nodes = found.groupBy("d").agg(F.min(F.struct("id", "key")).alias("row"), F.first("n").alias("n"), F.first("heads").alias("heads"))
-    bits = found.groupBy("d").agg(F.first("bits").alias("bits"))
-    order = Window.partitionBy("h").orderBy(F.xxhash64("d", "h"), "d")
-    dealt = nodes.select("d", "n", F.posexplode("heads").alias("p", "h"))
-    held = dealt.select("*", F.lag(F.struct("d", "n", "p")).over(order).alias("c"), F.lead("d").over(order).isNull().alias("last"))
-    shared = cut(held.filter("c is not null or not last").drop("last"))
-    named = cut(nodes.select("d", "row.*"))
+    found = cut(spread(rows).mapInArrow(_heads(shingle, similarity, frequent, rank, radius is not None), "id long, key long, d long, n long, bits binary, heads array<long>, w0 long"))
+    named = cut(found.groupBy("d").agg(F.min(F.struct("id", "key")).alias("row")).select("d", "row.*"))
+    n_firsts = found.agg(F.sum(F.size("heads")).alias("n")).first().n or 0
+    buckets = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_firsts // PACK + 1)
+    by_bucket = lambda df: df.repartition("bucket").sortWithinPartitions("bucket")
+    # No name holds the frames before a cut, else their shuffle files stay.
+    shared = cut(by_bucket(found.select("d", "n", "heads").mapInArrow(_packed(buckets), "bucket long, packed binary")).mapInArrow(_shards(similarity, most, buckets), "h long, a long, b long, rest long"))
+    free(docs.sparkSession)
     # What two sets must have in common, and what they can have: what their first shingles do, and either's rest.
     least = lambda n, m: F.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
     either = lambda df: df.select(F.col("a").alias("d")).unionByName(df.select(F.col("b").alias("d"))).distinct()
@@ -454,8 +635,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that have the similarity: bitmaps first, then first shingles, then whole sets."""
         pairs = cut(pairs.distinct())
         marks = _marks(either(pairs).withColumnRenamed("d", "key"))
+        bits = found.select("d", "n", "bits").mapInArrow(_folded_rows(marks), "d long, n long, bits binary").dropDuplicates(["d"])
+        near = with_both(pairs, bits).select("a", "b", (F.col("x.n") + F.col("y.n")).alias("n"), F.col("x.bits").alias("x"), F.col("y.bits").alias("y"))
+        pairs = cut(near.mapInArrow(_close_bits(similarity), "a long, b long"))
+        marks = _marks(either(pairs).withColumnRenamed("d", "key"))
         firsts = cut(found.select("d", "n", "heads").mapInArrow(_marked_rows(marks), "d long, n long, heads array<long>").dropDuplicates(["d"]))
         rest = lambda c: F.col(f"{c}.n") - F.size(f"{c}.heads")
         can = F.size(F.array_intersect("x.heads", "y.heads")) + F.greatest(rest("x"), rest("y"))
@@ -463,23 +649,39 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         marks = _marks(named.join(either(pairs), "d", "left_semi").select("key"))
         sets = cut(rows.select("key", "text").mapInArrow(_held_sets(marks, shingle), "d long, bytes binary").dropDuplicates(["d"]))
         both = with_both(pairs, sets).select("a", "b", F.col("x.bytes").alias("x"), F.col("y.bytes").alias("y"))
-        return cut(both.mapInArrow(_alike(similarity), "a long, b long"))
+        alike = cut(both.mapInArrow(_alike(similarity), "a long, b long"))
+        free(docs.sparkSession)
+        return alike
 
-    may = F.least(F.col("n") - F.col("p"), F.col("c.n") - F.col("c.p")) >= least(F.col("n"), F.col("c.n"))
-    chains = verified(shared.filter(F.col("c").isNotNull() & may).select(F.least("c.d", "d").alias("a"), F.greatest("c.d", "d").alias("b")))
+    pairs, near = shared.filter("h is null").select("a", "b").distinct(), None
     if radius is not None:
         # One row a fingerprint goes into the trees; what shares one is linked to its smallest digest. Equal sets may differ in fingerprints.
         marked = cut(found.select("w0", "d").distinct())
         nearest = marked.groupBy("w0").agg(F.min("d").alias("id"))
         alike = marked.join(nearest, "w0").select(F.greatest("d", "id").alias("a"), F.least("d", "id").alias("b")).filter("a <> b")
-        chains = cut(chains.unionByName(alike).unionByName(links(nearest, radius, 64, exact_masks(radius, 64), True)).distinct())
-    joined = components(chains).withColumnRenamed("a", "d")
-    placed = shared.join(joined, "d", "left").select("h", "d", "n", F.col("p").cast("long").alias("p"), F.coalesce("root", "d").alias("r"))
-    # Bitmaps travel with members of shards of two components or more alone.
-    open_shards = placed.groupBy("h").agg(F.min("r").alias("x"), F.max("r").alias("y")).filter("x < y").select("h")
-    placed = placed.join(open_shards, "h", "left_semi").join(bits, "d").select("h", "d", "n", "p", "r", "bits")
-    crossing = placed.repartition("h").sortWithinPartitions("h").mapInArrow(_crossing(similarity), "a long, b long")
-    roots = components(chains.unionByName(verified(crossing))).withColumnRenamed("a", "d")
+        near = components(alike.unionByName(links(nearest, radius, 64, exact_masks(radius, 64), True)))
+        free(docs.sparkSession)
+        x, y = (near.select(F.col("a").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+        pairs = pairs.join(x, "a", "left").join(y, "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    chains = verified(pairs)
+    if near is not None:
+        chains = chains.unionByName(near.select("a", F.col("root").alias("b")))
+        del marked, nearest, alike, x, y
+    del pairs
+    joined = roots = components(chains).withColumnRenamed("a", "d")
+    large = shared.filter("h is not null").select("h", F.col("a").alias("d"), "rest")
+    if not large.isEmpty():
+        placed = large.join(joined, "d", "left").select("h", "d", "rest", F.coalesce("root", "d").alias("r"))
+        # Bitmaps travel with members of shards of two components or more alone.
+        open_shards = placed.groupBy("h").agg(F.min("r").alias("x"), F.max("r").alias("y")).filter("x < y").select("h")
+        bits = found.groupBy("d").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+        placed = placed.join(open_shards, "h", "left_semi").join(bits, "d").select("h", "d", "n", "rest", "r", "bits")
+        crossing = placed.repartition("h").sortWithinPartitions("h").mapInArrow(_crossing(similarity), "a long, b long")
+        more = verified(crossing)
+        if not more.isEmpty():
+            roots = components(joined.select(F.col("d").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnRenamed("a", "d")
+        del placed, open_shards, bits, crossing
+    free(docs.sparkSession)
     rooted = named.join(roots, "d", "left").select("d", "id", "key", F.coalesce("root", "d").alias("r"))
     first = rooted.groupBy("r").agg(F.min(F.struct("id", "key")).alias("f")).select("r", F.col("f.id").alias("component"), F.col("f.key").alias("first"))
     back = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)

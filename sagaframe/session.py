@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -64,6 +65,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free(spark: SparkSession) -> None:
+    """Have Spark drop the shuffle files and checkpoints of frames that are no longer held; else they stay until the driver's heap fills up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out only where the input has fewer partitions than the session has cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -222,6 +222,59 @@ def test_similar_documents_are_those_of_brute_force(spark):
     assert got == dict(enumerate(parent)) and 60 < len(set(parent)) < 280
 
 
+def test_large_shards_link_what_small_ones_do(spark):
+    """Shards of any size give the links of brute force, over exact copies, a large group of near copies and a passage that many unlike texts share."""
+    draw = random.Random(8)
+    base, passage = [f"b{i}" for i in range(120)], [f"p{i}" for i in range(30)]
+    texts = []
+    for k in range(25):
+        texts.append(" ".join(f"c{draw.randrange(4)}" if i == 7 * k % 120 else w for i, w in enumerate(base)))
+        texts.append(" ".join([*(f"w{draw.randrange(5000)}" for _ in range(draw.choice((20, 60)))), *passage]))
+    texts += texts[:6] * 3
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    want = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((want[a], want[b]))
+                want = [low if p == high else p for p in want]
+    for most in (1, 4, 64):
+        assert {r.id: r.component for r in simhash.similar_documents(frame(spark, texts), most=most).collect()} == dict(enumerate(want))
+    assert 10 < len(set(want)) < 40
+
+
+def test_first_shingles_travel_packed(spark, tmp_path):
+    """Texts that share passages write less shuffle than twice their own size: no row a shingle, no bitmap a member of a shard."""
+    draw = random.Random(9)
+    passages = [" ".join(f"p{k}_{i}" for i in range(40)) for k in range(60)]
+    texts = [" ".join([*(f"w{draw.randrange(9000)}" for _ in range(60)), *draw.sample(passages, 3)]) for _ in range(600)]
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+    gateway = spark.sparkContext._gateway
+
+    def written() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = store.stageList(None, False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+    docs = frame(spark, texts)
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    size = written()
+    groups = simhash.similar_documents(docs, radius=2)
+    assert len({r.component for r in groups.collect()}) > 500
+    assert written() - size < 2 * sum(map(len, texts))
+
+
+def test_folded_bitmaps_bound_the_difference():
+    draw = np.random.default_rng(2)
+    for _ in range(200):
+        pool = draw.integers(0, 1 << 63, 3000, dtype=np.uint64)
+        n = int(draw.integers(1, 2500))
+        a, b = (np.unique(draw.choice(pool, size)) for size in (n, int(n * draw.uniform(0.8, 1.25))))
+        x, y = (simhash.folded(simhash.parity(s), len(s)) for s in (a, b))
+        assert simhash.bits_apart(x, y) == simhash.bits_apart(y, x) <= len(np.setxor1d(a, b))
+        assert simhash.bits_apart(x, x) == 0
+
 # 3
 
 
