@@ -44,7 +44,7 @@ def test_query(spark, duck, name):
         assert got or name in ("story_segments", "layer_boundaries")
 
 
-@pytest.mark.parametrize("name", ["graph_degree", "graph_edges", "graphrag_relationships"])
+@pytest.mark.parametrize("name", ["graph_degree", "graph_edges", "graph_type_counts", "graphrag_relationships"])
 def test_graph_of_odd_rows(spark, tmp_path, name):
     """Nulls, empty texts, and supports that differ after their first 120 characters alone."""
     con = duckdb.connect()
