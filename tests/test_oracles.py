@@ -63,7 +63,7 @@ def test_graph_of_odd_rows(spark, tmp_path, name):
     assert rows_of(df.columns, df.collect()) == rows_of(want.columns, want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["graph_degree"])
+@pytest.mark.parametrize("name", ["graph_degree", "graph_type_counts"])
 def test_graph_of_shared_ids(spark, tmp_path, name):
     """An id keeps 40 bits of its digest. Among these customers, found in 60 copies of sf0.1, two edges share theirs with another; all count."""
     con = duckdb.connect()
